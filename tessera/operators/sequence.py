@@ -87,9 +87,14 @@ def _changed(frame: pd.DataFrame, cols, prev: tuple | None) -> np.ndarray:
     return out
 
 
-def _local_pass(pcols, ocols, sums, range_sums, lags, leads, scaled):
-    """Build the per-bucket mapInPandas function."""
+def _local_pass(pcols, ocols, sums, range_sums, lags, leads, scaled, peers):
+    """Build the per-bucket mapInPandas function.
+
+    ``peers`` is the number of leading order keys that define peer groups for
+    rank / dense rank / RANGE sums (the rest only orders rows).
+    """
     cum_src = {**sums, **range_sums}
+    tcols = ocols[:peers]
 
     def process(chunk: pd.DataFrame, carry: dict | None, nxt: pd.Series | None):
         chunk = chunk.reset_index(drop=True)
@@ -97,7 +102,7 @@ def _local_pass(pcols, ocols, sums, range_sums, lags, leads, scaled):
         prev_p = carry["p"] if carry else None
         prev_k = carry["k"] if carry else None
         newgrp = _changed(chunk, pcols, prev_p)
-        newtie = newgrp | _changed(chunk, ocols, prev_k[len(pcols):] if prev_k else None)
+        newtie = newgrp | _changed(chunk, tcols, prev_k[len(pcols):] if prev_k else None)
         gid = np.cumsum(newgrp)
         cont = carry is not None and not newgrp[0]  # first group continues from carry
         first_seg = gid == gid[0]
@@ -152,7 +157,7 @@ def _local_pass(pcols, ocols, sums, range_sums, lags, leads, scaled):
         out["__last"] = last_flag
         new_carry = {
             "p": tuple(chunk.iloc[-1][c] for c in pcols),
-            "k": tuple(chunk.iloc[-1][c] for c in pcols + ocols),
+            "k": tuple(chunk.iloc[-1][c] for c in pcols + tcols),
             "rn": int(rn[-1]),
             "rank": int(rank[-1]),
             "dense": int(dense[-1]),
@@ -164,7 +169,7 @@ def _local_pass(pcols, ocols, sums, range_sums, lags, leads, scaled):
 
     def run(batches):
         carry, pending = None, None
-        keys = pcols + ocols
+        keys = pcols + tcols
         for batch in batches:
             if len(batch) == 0:
                 continue
@@ -198,8 +203,13 @@ def sequence(
     lag: dict[str, str] | None = None,
     lead: dict[str, str] | None = None,
     buckets: int | None = None,
+    peers: int | None = None,
 ) -> DataFrame:
-    """Append ordered-analytic columns computed without a single-task window."""
+    """Append ordered-analytic columns computed without a single-task window.
+
+    ``peers``: how many leading ``order_by`` keys define ties for rank,
+    dense rank and ``range_sum`` (default: all of them).
+    """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     keys = [parse_order(o) for o in order_by]
@@ -222,9 +232,12 @@ def sequence(
         else:
             sum_types[src] = T.DoubleType()
 
+    npeers = len(ocols) if peers is None else peers
     sort_cols = [F.col(c).asc_nulls_first() for c in pcols] + [k.column() for k in keys]
+    # range keys stop at the peer keys so a peer group never spans two buckets
+    range_cols = sort_cols[: len(pcols) + npeers] or sort_cols
     bucketed = (
-        df.repartitionByRange(n, *sort_cols)
+        df.repartitionByRange(n, *range_cols)
         .sortWithinPartitions(*sort_cols)
         .withColumn("__bucket", F.spark_partition_id())
     )
@@ -244,7 +257,7 @@ def sequence(
     extra.append(T.StructField("__last", T.BooleanType()))
     out_schema = T.StructType(bucketed.schema.fields + extra)
     local = bucketed.mapInPandas(
-        _local_pass(pcols, ocols, sums, rsums, lags, leads, scaled), out_schema
+        _local_pass(pcols, ocols, sums, rsums, lags, leads, scaled, npeers), out_schema
     ).checkpoint(eager=True)
 
     # per (bucket, group) summary: at most #groups + #buckets rows

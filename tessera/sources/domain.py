@@ -9,8 +9,9 @@ enrollments and assessments.  At scale those come from the warehouse tables:
 * enrollments  <- lineitem JOIN orders  (a student enrolls in a course on the
                   order date; the grain is the order line)
 * assessments  <- events  (``event_id`` is unique, the course is the ``k``
-                  field of the JSON ``props``, the score is ``value`` as
-                  DECIMAL(7,2) so sums and averages are exact)
+                  field of the JSON ``props``, the score is ``100 - value/5``
+                  as DECIMAL(7,2) so sums and averages are exact; ``value``
+                  has two decimals, so value/5 never ends on a rounding tie)
 
 Each function returns a lazy DataFrame; only the columns a query selects are
 read from parquet.  The dimension joins are against tiny tables (25 nations,
@@ -110,7 +111,7 @@ def assessments(spark: SparkSession, d: str) -> DataFrame:
         F.col("user_id").alias("student_id"),
         F.get_json_object("props", "$.k").cast("bigint").alias("course_id"),
         _type_case(F.col("event_type")).alias("assessment_type"),
-        F.col("value").cast(SCORE_TYPE).alias("score"),
+        (F.lit(100.0) - F.col("value") / F.lit(5.0)).cast(SCORE_TYPE).alias("score"),
         F.col("ts").alias("assessed_at"),
     )
 
