@@ -33,8 +33,6 @@ from pyspark.sql import types as T
 
 from tessera.session import ensure_checkpoint_dir
 
-BROADCAST_ROW_LIMIT = 2_000_000
-
 _ORDER_RE = re.compile(
     r"^\s*(?P<col>[A-Za-z_][A-Za-z0-9_]*)\s*(?P<dir>asc|desc)?\s*(nulls\s+(?P<nulls>first|last))?\s*$",
     re.I,
@@ -288,9 +286,12 @@ def sequence(
         offs.append(F.lead(f"firstv_{name}").over(w).alias(f"next_{name}"))
     offsets = stats.select("__bucket", *pcols, *offs).withColumnsRenamed(
         {c: f"__o_{c}" for c in pcols}
-    ).checkpoint(eager=True)
-    if offsets.count() <= BROADCAST_ROW_LIMIT:
+    )
+    if not pcols:
+        # one row per bucket: bounded by the bucket count, safe to broadcast
         offsets = F.broadcast(offsets)
+    # otherwise at most #groups + #buckets rows; Spark's size estimate and
+    # AQE's runtime statistics choose broadcast or a shuffle join
     cond = [local["__bucket"] == offsets["__bucket"]] + [
         local[c].eqNullSafe(offsets[f"__o_{c}"]) for c in pcols
     ]
