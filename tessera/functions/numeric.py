@@ -31,3 +31,35 @@ def half_even_int(c) -> Column:
     """Round to the nearest integer, ties to even (NumPy semantics)."""
     c = F.col(c) if isinstance(c, str) else c
     return F.rint(c).cast("bigint")
+
+
+def coerce_double(c) -> Column:
+    """Parse to DOUBLE; unparsable text, blanks and NaN become NULL (ANSI-safe)."""
+    c = F.col(c) if isinstance(c, str) else c
+    d = c.try_cast("double")
+    return F.when(F.isnan(d), None).otherwise(d)
+
+
+_INT_LIMIT = 9.2e18
+
+
+def coerce_int(c) -> Column:
+    """Parse to BIGINT through DOUBLE; a non-integral value becomes NULL
+    (not truncated), so '20.0' -> 20 and '20.7' -> NULL."""
+    d = coerce_double(c)
+    ok = (d == F.floor(d)) & (F.abs(d) < _INT_LIMIT)
+    return F.when(ok, d.cast("bigint"))
+
+
+def coerce_int_half_even(c) -> Column:
+    """Parse, then round half to even to an integer ('2.5' -> 2, '3.5' -> 4)."""
+    d = coerce_double(c)
+    r = F.rint(d)
+    return F.when(F.abs(r) < _INT_LIMIT, r.cast("bigint"))
+
+
+def truncate_int(c) -> Column:
+    """``int(float(x))``: parse and truncate toward zero; bad text -> NULL."""
+    d = coerce_double(c)
+    t = F.when(d >= 0, F.floor(d)).otherwise(F.ceil(d))
+    return F.when(F.abs(t) < _INT_LIMIT, t.cast("bigint"))

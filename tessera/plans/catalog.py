@@ -1,3 +1,3 @@
 """Importing this module registers every query of the library."""
 
-from tessera.plans import corpus_relational, corpus_windows  # noqa: F401
+from tessera.plans import corpus_relational, corpus_silver, corpus_windows  # noqa: F401
