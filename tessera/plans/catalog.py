@@ -1,3 +1,9 @@
 """Importing this module registers every query of the library."""
 
-from tessera.plans import corpus_gold, corpus_relational, corpus_silver, corpus_windows  # noqa: F401
+from tessera.plans import (  # noqa: F401
+    corpus_documents,
+    corpus_gold,
+    corpus_relational,
+    corpus_silver,
+    corpus_windows,
+)
