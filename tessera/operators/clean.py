@@ -229,7 +229,7 @@ def attendance_to_rate(df: DataFrame, source_col: str = "source", col: str = "at
 
     max in (1.1, 100] -> the source is on 0-100: divide by 100, then clip to
     [0, 1]; max <= 1.1 or all NULL -> keep and clip; max > 100 -> error row
-    (``__scale_error`` is true; the caller raises).
+    (``scale_error`` is true; the caller raises).
     """
     mx = df.groupBy(source_col).agg(F.max(col).alias("__mx"))
     j = df.join(F.broadcast(mx), source_col, "left")  # one row per source
@@ -237,7 +237,7 @@ def attendance_to_rate(df: DataFrame, source_col: str = "source", col: str = "at
     scaled = F.when((m > 1.1) & (m <= 100), F.col(col) / 100.0).otherwise(F.col(col))
     rate = F.least(F.greatest(scaled, F.lit(0.0)), F.lit(1.0))
     return j.withColumn("attendance_rate", F.when(F.col(col).isNotNull(), rate)).withColumn(
-        "__scale_error", F.coalesce(m > 100, F.lit(False))).drop("__mx")
+        "scale_error", F.coalesce(m > 100, F.lit(False))).drop("__mx")
 
 
 def record_ids(df: DataFrame, source: str, order_col: str, fmt: str = "R-{src}-%04d") -> DataFrame:
