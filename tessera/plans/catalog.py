@@ -3,6 +3,7 @@
 from tessera.plans import (  # noqa: F401
     corpus_documents,
     corpus_gold,
+    corpus_ml,
     corpus_relational,
     corpus_silver,
     corpus_windows,
