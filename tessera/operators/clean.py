@@ -156,9 +156,10 @@ def clip_upper_quantile(df: DataFrame, col: str, q: float = 0.99) -> DataFrame:
     (linear interpolation); adds ``<col>_clipped`` flags for counting."""
     cap = quantiles(df, col, {"__cap": q})
     out = df.crossJoin(F.broadcast(cap))
+    # clipping at a fractional bound yields a DOUBLE column (as pandas does)
     return out.withColumns({
         f"{col}_clipped": F.col(col) > F.col("__cap"),
-        col: F.when(F.col(col) > F.col("__cap"), F.col("__cap").cast(df.schema[col].dataType)).otherwise(F.col(col)),
+        col: F.when(F.col(col) > F.col("__cap"), F.col("__cap")).otherwise(F.col(col).cast("double")),
     }).drop("__cap")
 
 

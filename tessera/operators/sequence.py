@@ -116,8 +116,8 @@ def _local_pass(pcols, ocols, sums, range_sums, lags, leads, scaled, peers):
         if cont:
             dense = dense + np.where(first_seg, carry["dense"], 0)
         out = chunk.copy()
-        out["__rn"], out["__rank"], out["__dense"] = rn, rank, dense
-        out["__first"] = newgrp
+        out["__sq_rn"], out["__sq_rank"], out["__sq_dense"] = rn, rank, dense
+        out["__sq_first"] = newgrp
         cums, cnts = {}, {}
         for name, src in cum_src.items():
             v = chunk[src]
@@ -131,17 +131,17 @@ def _local_pass(pcols, ocols, sums, range_sums, lags, leads, scaled, peers):
                 cs = cs + np.where(first_seg, carry["cum"][name], 0)
                 nn = nn + np.where(first_seg, carry["cnt"][name], 0)
             cums[name], cnts[name] = cs, nn
-            out[f"__cum_{name}"] = cs
-            out[f"__cnt_{name}"] = nn
+            out[f"__sq_cum_{name}"] = cs
+            out[f"__sq_cnt_{name}"] = nn
         tid = np.cumsum(newtie)
         for name in range_sums:
-            out[f"__cum_{name}"] = pd.Series(cums[name]).groupby(tid).transform("last").to_numpy()
-            out[f"__cnt_{name}"] = pd.Series(cnts[name]).groupby(tid).transform("last").to_numpy()
+            out[f"__sq_cum_{name}"] = pd.Series(cums[name]).groupby(tid).transform("last").to_numpy()
+            out[f"__sq_cnt_{name}"] = pd.Series(cnts[name]).groupby(tid).transform("last").to_numpy()
         for name, src in lags.items():
             lag = chunk[src].groupby(gid).shift(1)
             if cont:
                 lag.iloc[0] = carry["last"][src]
-            out[f"__lag_{name}"] = lag
+            out[f"__sq_lag_{name}"] = lag
         last_flag = np.zeros(n, dtype=bool)
         for name, src in leads.items():
             lead = chunk[src].groupby(gid).shift(-1)
@@ -149,10 +149,10 @@ def _local_pass(pcols, ocols, sums, range_sums, lags, leads, scaled, peers):
                 pd.concat([chunk.iloc[[-1]][pcols], nxt[pcols].to_frame().T], ignore_index=True),
                 pcols, None)[1:].any():
                 lead.iloc[-1] = nxt[src]
-            out[f"__lead_{name}"] = lead
+            out[f"__sq_lead_{name}"] = lead
         if nxt is None:
             last_flag[-1] = True
-        out["__last"] = last_flag
+        out["__sq_last"] = last_flag
         new_carry = {
             "p": tuple(chunk.iloc[-1][c] for c in pcols),
             "k": tuple(chunk.iloc[-1][c] for c in pcols + tcols),
@@ -231,28 +231,35 @@ def sequence(
             sum_types[src] = T.DoubleType()
 
     npeers = len(ocols) if peers is None else peers
+    # complex pass-through columns (struct/array/map) cross the Arrow boundary
+    # as JSON text and are restored with their exact type afterwards
+    packed = {f.name: f.dataType for f in schema.fields
+              if isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType))
+              and f.name not in pcols + ocols + list({**sums, **rsums, **lags, **leads}.values())}
+    if packed:
+        df = df.withColumns({c: F.to_json(F.col(c)) for c in packed})
     sort_cols = [F.col(c).asc_nulls_first() for c in pcols] + [k.column() for k in keys]
     # range keys stop at the peer keys so a peer group never spans two buckets
     range_cols = sort_cols[: len(pcols) + npeers] or sort_cols
     bucketed = (
         df.repartitionByRange(n, *range_cols)
         .sortWithinPartitions(*sort_cols)
-        .withColumn("__bucket", F.spark_partition_id())
+        .withColumn("__sq_bucket", F.spark_partition_id())
     )
     extra = [
-        T.StructField("__rn", T.LongType()),
-        T.StructField("__rank", T.LongType()),
-        T.StructField("__dense", T.LongType()),
-        T.StructField("__first", T.BooleanType()),
+        T.StructField("__sq_rn", T.LongType()),
+        T.StructField("__sq_rank", T.LongType()),
+        T.StructField("__sq_dense", T.LongType()),
+        T.StructField("__sq_first", T.BooleanType()),
     ]
     for name, src in {**sums, **rsums}.items():
-        extra.append(T.StructField(f"__cum_{name}", T.LongType() if src in scaled else T.DoubleType()))
-        extra.append(T.StructField(f"__cnt_{name}", T.LongType()))
+        extra.append(T.StructField(f"__sq_cum_{name}", T.LongType() if src in scaled else T.DoubleType()))
+        extra.append(T.StructField(f"__sq_cnt_{name}", T.LongType()))
     for name, src in lags.items():
-        extra.append(T.StructField(f"__lag_{name}", schema[src].dataType))
+        extra.append(T.StructField(f"__sq_lag_{name}", schema[src].dataType))
     for name, src in leads.items():
-        extra.append(T.StructField(f"__lead_{name}", schema[src].dataType))
-    extra.append(T.StructField("__last", T.BooleanType()))
+        extra.append(T.StructField(f"__sq_lead_{name}", schema[src].dataType))
+    extra.append(T.StructField("__sq_last", T.BooleanType()))
     out_schema = T.StructType(bucketed.schema.fields + extra)
     local = bucketed.mapInPandas(
         _local_pass(pcols, ocols, sums, rsums, lags, leads, scaled, npeers), out_schema
@@ -260,18 +267,18 @@ def sequence(
 
     # per (bucket, group) summary: at most #groups + #buckets rows
     aggs = [
-        F.max("__rn").alias("n_rows"),
-        F.max("__dense").alias("n_dense"),
+        F.max("__sq_rn").alias("n_rows"),
+        F.max("__sq_dense").alias("n_dense"),
     ]
     for name in {**sums, **rsums}:
-        aggs.append(F.max_by(F.col(f"__cum_{name}"), F.col("__rn")).alias(f"tot_{name}"))
-        aggs.append(F.max_by(F.col(f"__cnt_{name}"), F.col("__rn")).alias(f"totn_{name}"))
+        aggs.append(F.max_by(F.col(f"__sq_cum_{name}"), F.col("__sq_rn")).alias(f"tot_{name}"))
+        aggs.append(F.max_by(F.col(f"__sq_cnt_{name}"), F.col("__sq_rn")).alias(f"totn_{name}"))
     for name, src in lags.items():
-        aggs.append(F.max_by(F.col(src), F.col("__rn")).alias(f"lastv_{name}"))
+        aggs.append(F.max_by(F.col(src), F.col("__sq_rn")).alias(f"lastv_{name}"))
     for name, src in leads.items():
-        aggs.append(F.min_by(F.col(src), F.col("__rn")).alias(f"firstv_{name}"))
-    stats = local.groupBy("__bucket", *pcols).agg(*aggs)
-    w = Window.partitionBy(*pcols).orderBy("__bucket")
+        aggs.append(F.min_by(F.col(src), F.col("__sq_rn")).alias(f"firstv_{name}"))
+    stats = local.groupBy("__sq_bucket", *pcols).agg(*aggs)
+    w = Window.partitionBy(*pcols).orderBy("__sq_bucket")
     before = w.rowsBetween(Window.unboundedPreceding, -1)
     offs = [
         F.coalesce(F.sum("n_rows").over(before), F.lit(0)).alias("off_rows"),
@@ -284,40 +291,41 @@ def sequence(
         offs.append(F.lag(f"lastv_{name}").over(w).alias(f"prev_{name}"))
     for name in leads:
         offs.append(F.lead(f"firstv_{name}").over(w).alias(f"next_{name}"))
-    offsets = stats.select("__bucket", *pcols, *offs).withColumnsRenamed(
-        {c: f"__o_{c}" for c in pcols}
+    offsets = stats.select("__sq_bucket", *pcols, *offs).withColumnsRenamed(
+        {c: f"__sq_o_{c}" for c in pcols}
     )
     if not pcols:
         # one row per bucket: bounded by the bucket count, safe to broadcast
         offsets = F.broadcast(offsets)
     # otherwise at most #groups + #buckets rows; Spark's size estimate and
     # AQE's runtime statistics choose broadcast or a shuffle join
-    cond = [local["__bucket"] == offsets["__bucket"]] + [
-        local[c].eqNullSafe(offsets[f"__o_{c}"]) for c in pcols
+    cond = [local["__sq_bucket"] == offsets["__sq_bucket"]] + [
+        local[c].eqNullSafe(offsets[f"__sq_o_{c}"]) for c in pcols
     ]
     joined = local.join(offsets, cond, "inner")
 
     outs = []
     if row_number:
-        outs.append((F.col("__rn") + F.col("off_rows")).alias(row_number))
+        outs.append((F.col("__sq_rn") + F.col("off_rows")).alias(row_number))
     if rank:
-        outs.append((F.col("__rank") + F.col("off_rows")).alias(rank))
+        outs.append((F.col("__sq_rank") + F.col("off_rows")).alias(rank))
     if dense_rank:
-        outs.append((F.col("__dense") + F.col("off_dense")).alias(dense_rank))
+        outs.append((F.col("__sq_dense") + F.col("off_dense")).alias(dense_rank))
     for name, src in {**sums, **rsums}.items():
-        total = F.col(f"__cum_{name}") + F.col(f"off_{name}")
+        total = F.col(f"__sq_cum_{name}") + F.col(f"off_{name}")
         dt = sum_types[src]
         if isinstance(dt, T.DecimalType):
             total = (total.cast(T.DecimalType(38, 0)) / F.lit(scaled[src])).cast(
                 T.DecimalType(min(38, dt.precision + 10), dt.scale)
             )
-        seen = F.col(f"__cnt_{name}") + F.col(f"offn_{name}")
+        seen = F.col(f"__sq_cnt_{name}") + F.col(f"offn_{name}")
         outs.append(F.when(seen > 0, total).alias(name))
     for name in lags:
-        outs.append(F.when(F.col("__first"), F.col(f"prev_{name}")).otherwise(F.col(f"__lag_{name}")).alias(name))
+        outs.append(F.when(F.col("__sq_first"), F.col(f"prev_{name}")).otherwise(F.col(f"__sq_lag_{name}")).alias(name))
     for name in leads:
-        outs.append(F.when(F.col("__last"), F.col(f"next_{name}")).otherwise(F.col(f"__lead_{name}")).alias(name))
-    return joined.select(*[local[c] for c in df.columns], *outs)
+        outs.append(F.when(F.col("__sq_last"), F.col(f"next_{name}")).otherwise(F.col(f"__sq_lead_{name}")).alias(name))
+    kept = [F.from_json(local[c], packed[c]).alias(c) if c in packed else local[c] for c in df.columns]
+    return joined.select(*kept, *outs)
 
 
 def row_index(df: DataFrame, order_by, name: str = "row_idx", start: int = 0) -> DataFrame:

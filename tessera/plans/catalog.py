@@ -6,5 +6,6 @@ from tessera.plans import (  # noqa: F401
     corpus_ml,
     corpus_relational,
     corpus_silver,
+    corpus_sources,
     corpus_windows,
 )
