@@ -2,6 +2,7 @@
 
 from tessera.plans import (  # noqa: F401
     corpus_documents,
+    corpus_flows,
     corpus_gold,
     corpus_ml,
     corpus_relational,
