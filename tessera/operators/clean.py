@@ -117,6 +117,8 @@ def fill_missing(df: DataFrame, drop_null_name: bool = True, fill_city: bool = T
     all-NULL column is left as is.  Integer columns take the median rounded
     half to even (pandas refuses a fractional fill for Int64).
     """
+    if df.isStreaming:
+        raise TypeError("fill_missing needs whole-table medians; run it on a batch DataFrame")
     if drop_null_name and "name" in df.columns:
         df = df.where(F.col("name").isNotNull())
     if fill_city and "city" in df.columns:

@@ -62,3 +62,12 @@ def k8_csv_vs_parquet(dom):
     return W.compare_formats(dom.spark, csv_path, pq).select(
         (F.col("csv_bytes") > 0).alias("csv_written"), (F.col("parquet_bytes") > 0).alias("parquet_written"),
         (F.col("parquet_bytes") < F.col("csv_bytes")).alias("parquet_smaller"))
+
+
+@register("N16_collection_pipeline",
+          """SELECT personal.city AS city, COUNT(*) AS students, ROUND(AVG(academic.gpa), 6) AS average_gpa,
+                    SUM(CASE WHEN list_contains(skills, 'Python') THEN 1 ELSE 0 END) AS python_students,
+                    SUM(len(projects)) AS projects
+             FROM student_docs GROUP BY 1""")
+def n16_collection_pipeline(dom):
+    return FL.collection_pipeline(dom, f"{L.landing_root(dom.spark, dom.dir)}/n16")

@@ -168,3 +168,20 @@ def export_report(dom, out_path: str) -> DataFrame:
     validate_report(rep)
     W.write_csv(rep, out_path, verify=True)
     return dom.spark.read.option("header", True).schema(rep.schema).csv(out_path)
+
+
+# ---------------------------------------------------------------- N16
+def collection_pipeline(dom, out_dir: str) -> DataFrame:
+    """Extract -> flatten -> features -> validate -> save -> aggregate.
+    Invalid documents are written aside; the result is the per-city summary."""
+    docs = D.validate_documents(student_documents(dom.spark, dom.dir))
+    feats = D.add_features(D.flatten(docs.where("is_valid").drop("violations", "is_valid")))
+    W.write_parquet(feats, f"{out_dir}/documents_features")
+    invalid = docs.where(~F.col("is_valid"))
+    if not invalid.isEmpty():
+        W.write_parquet(invalid, f"{out_dir}/documents_invalid")
+    saved = dom.spark.read.parquet(f"{out_dir}/documents_features")
+    return saved.groupBy(F.col("`personal.city`").alias("city")).agg(
+        F.count(F.lit(1)).alias("students"), F.round(F.avg("`academic.gpa`"), 6).alias("average_gpa"),
+        F.sum(F.col("skill_python").cast("int")).alias("python_students"),
+        F.sum("project_count").alias("projects"))
