@@ -202,12 +202,23 @@ def sequence(
     lead: dict[str, str] | None = None,
     buckets: int | None = None,
     peers: int | None = None,
+    method: str = "auto",
 ) -> DataFrame:
     """Append ordered-analytic columns computed without a single-task window.
 
     ``peers``: how many leading ``order_by`` keys define ties for rank,
     dense rank and ``range_sum`` (default: all of them).
+
+    ``method``: ``'distributed'`` always uses the range-bucketed engine;
+    ``'native'`` uses Spark window functions; ``'auto'`` (default) uses the
+    native windows only when the optimizer's size estimate of the input --
+    computed without running a job, and an over-estimate for joins and
+    filters -- is at most ``SMALL_INPUT_BYTES``, so a single window task is
+    proven small; anything larger goes to the distributed engine.
     """
+    if method == "native" or (method == "auto" and _is_small(df)):
+        return _native(df, order_by, partition_by, row_number, rank, dense_rank, running_sum, range_sum,
+                       lag, lead, peers)
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     keys = [parse_order(o) for o in order_by]
@@ -328,6 +339,59 @@ def sequence(
     return joined.select(*kept, *outs)
 
 
+SMALL_INPUT_BYTES = 32 * 1024 * 1024
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Optimizer size estimate of a plan (no job is run)."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001
+        return None
+
+
+def _is_small(df: DataFrame) -> bool:
+    est = estimated_bytes(df)
+    return est is not None and est <= SMALL_INPUT_BYTES
+
+
+def _native(df, order_by, partition_by, row_number, rank, dense_rank, running_sum, range_sum, lag, lead, peers):
+    """The same outputs with Spark window functions (small inputs only)."""
+    keys = [parse_order(o) for o in order_by]
+    pcols = list(partition_by)
+    npeers = len(keys) if peers is None else peers
+    w = Window.partitionBy(*pcols).orderBy(*[k.column() for k in keys])
+    wp = Window.partitionBy(*pcols).orderBy(*[k.column() for k in keys[:npeers]]) if npeers else \
+        Window.partitionBy(*pcols).orderBy(F.lit(1))
+    schema = df.schema
+    cols = {}
+    if row_number:
+        cols[row_number] = F.row_number().over(w).cast("long")
+    if rank:
+        cols[rank] = F.rank().over(wp).cast("long")
+    if dense_rank:
+        cols[dense_rank] = F.dense_rank().over(wp).cast("long")
+
+    def sum_type(src):
+        dt = schema[src].dataType
+        if isinstance(dt, T.DecimalType):
+            return T.DecimalType(min(38, dt.precision + 10), dt.scale)
+        if isinstance(dt, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)):
+            return T.LongType()
+        return T.DoubleType()
+
+    for name, src in (running_sum or {}).items():
+        cols[name] = F.sum(src).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).cast(sum_type(src))
+    for name, src in (range_sum or {}).items():
+        cols[name] = F.sum(src).over(wp.rangeBetween(Window.unboundedPreceding, Window.currentRow)).cast(
+            sum_type(src))
+    for name, src in (lag or {}).items():
+        cols[name] = F.lag(src).over(w)
+    for name, src in (lead or {}).items():
+        cols[name] = F.lead(src).over(w)
+    return df.withColumns(cols)
+
+
 def row_index(df: DataFrame, order_by, name: str = "row_idx", start: int = 0) -> DataFrame:
     """Consecutive index in a total order, computed without one task."""
     out = sequence(df, order_by, row_number="__ri")

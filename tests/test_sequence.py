@@ -31,9 +31,10 @@ def test_matches_native_windows(spark, data, buckets):
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "97")
     try:
         out = sequence(data, ["k desc nulls first", "id"], ["g"], row_number="rn", running_sum={"cs": "dv"},
-                       lag={"lg": "dv"}, lead={"ld": "v"}, buckets=buckets)
+                       lag={"lg": "dv"}, lead={"ld": "v"}, buckets=buckets,
+                       method="distributed")
         out = sequence(out, ["k desc nulls first"], ["g"], rank="rk", dense_rank="dr", range_sum={"rs": "dv"},
-                       buckets=buckets + 1)
+                       buckets=buckets + 1, method="distributed")
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     w = W.partitionBy("g").orderBy(F.col("k").desc_nulls_first(), "id")
@@ -51,7 +52,7 @@ def test_matches_native_windows(spark, data, buckets):
 
 def test_global_rank_with_peers(spark, data):
     out = sequence(data, ["v desc nulls first", "id"], peers=1, row_number="rn", rank="rk", dense_rank="dr",
-                   buckets=5)
+                   buckets=5, method="distributed")
     w1 = W.orderBy(F.col("v").desc_nulls_first(), "id")
     w2 = W.orderBy(F.col("v").desc_nulls_first())
     ref = data.select("id", F.row_number().over(w1).alias("rn"), F.rank().over(w2).alias("rk"),
@@ -63,3 +64,24 @@ def test_global_rank_with_peers(spark, data):
 def test_row_index_is_consecutive(spark, data):
     idx = row_index(data, ["id"], "i", start=1).select("i").orderBy("i").collect()
     assert [r.i for r in idx] == list(range(1, data.count() + 1))
+
+
+def test_native_path_equals_distributed(spark, data):
+    kw = dict(row_number="rn", rank="rk", dense_rank="dr", running_sum={"cs": "dv"}, range_sum={"rs": "dv"},
+              lag={"lg": "dv"}, lead={"ld": "v"})
+    a = sequence(data, ["k desc nulls first", "id"], ["g"], peers=1, method="distributed", buckets=4, **kw)
+    b = sequence(data, ["k desc nulls first", "id"], ["g"], peers=1, method="native", **kw)
+    assert [f.dataType for f in a.schema] == [f.dataType for f in b.schema]
+    _cmp(a, b)
+
+
+def test_auto_picks_native_only_for_small_inputs(spark, data):
+    from tessera.operators import sequence as S
+
+    from .conftest import SF_SMALL
+
+    small = spark.read.parquet(f"{SF_SMALL}/customer.parquet")  # file-size estimate: a few KB
+    assert S._is_small(small)
+    big = spark.range(10 ** 12).toDF("id")  # estimate far above the bound; nothing is run
+    assert not S._is_small(big)
+    assert not S._is_small(data)  # no estimate for local rows: the distributed engine is used
