@@ -47,10 +47,10 @@ def resolve_entities(df: DataFrame, keys, order_col: str = "ingest_ord", name: s
     the first appearance of each tuple in input order."""
     keys = list(keys)
     first = df.groupBy(*keys).agg(F.min(order_col).alias("__first"))
-    numbered = consecutive_ids(first, ["__first"], "__sid", fmt)
-    cond = [df[k].eqNullSafe(numbered[k]) for k in keys]
-    return df.join(numbered.select(*[F.col(k) for k in keys], "__sid"), cond, "inner").select(
-        *[df[c] for c in df.columns], F.col("__sid").alias(name))
+    numbered = consecutive_ids(first, ["__first"], "__sid", fmt).select(
+        *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__sid")  # fresh names: no self-join ambiguity
+    cond = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
+    return df.join(numbered, cond, "inner").select(*df.columns, F.col("__sid").alias(name))
 
 
 def cross_file_match(a: DataFrame, b: DataFrame, keys) -> DataFrame:
@@ -60,7 +60,8 @@ def cross_file_match(a: DataFrame, b: DataFrame, keys) -> DataFrame:
     keys = list(keys)
     ca = a.groupBy(*keys).agg(F.count(F.lit(1)).alias("__na"))
     cb = b.groupBy(*keys).agg(F.count(F.lit(1)).alias("__nb"))
-    cond = [ca[k].eqNullSafe(cb[k]) for k in keys]
+    cb = cb.select(*[F.col(k).alias(f"__b{i}") for i, k in enumerate(keys)], "__nb")
+    cond = [F.col(k).eqNullSafe(F.col(f"__b{i}")) for i, k in enumerate(keys)]
     j = ca.join(cb, cond, "full_outer")
     return j.agg(
         F.coalesce(F.sum(F.col("__na") * F.col("__nb")), F.lit(0)).cast("bigint").alias("matched_pairs"),
