@@ -227,3 +227,32 @@ def quarantine(df: DataFrame, fail_rules: list[Rule], invalid_rules: list[Rule])
         "disposition",
         F.when(F.size("__hard") > 0, "fail").when(F.size("__soft") > 0, "invalid").otherwise("valid"),
     ).drop("__hard", "__soft")
+
+
+# ---------------------------------------------------------------- Q3
+def source_rules(source: str, df: DataFrame) -> list[Rule]:
+    """Q3: the rule table of each source.
+
+    api: ranges only where age is present, gpa/attendance may be NULL;
+    scraper: strict ranges (a missing value fails); other sources: a
+    non-NULL id, and for the CSV source a unique id as well."""
+    if source == "api":
+        return [Rule("not_null:student_id", "student_id", F.col("student_id").isNotNull(), nulls_fail=True),
+                Rule("range:age", "age", F.col("age").between(*OUTLIER_RANGES["age"]))]
+    if source == "scraper":
+        return [Rule("not_null:student_id", "student_id", F.col("student_id").isNotNull(), nulls_fail=True)] + [
+            Rule(f"range:{c}", c, F.col(c).between(lo, hi), nulls_fail=True) for c, (lo, hi) in OUTLIER_RANGES.items()
+            if c in df.columns]
+    return [Rule("not_null:student_id", "student_id", F.col("student_id").isNotNull(), nulls_fail=True)]
+
+
+def validate_source(source: str, df: DataFrame) -> DataFrame:
+    """Q3: (source, rule, failed_count) in one pass; duplicates for the CSV source."""
+    rep = evaluate(df, source_rules(source, df)).select(F.lit(source).alias("source"), "rule", "failed_count")
+    if source == "csv":
+        dup = df.agg((F.count(F.lit(1)) - F.count_distinct("student_id")
+                      - F.coalesce(F.max(F.col("student_id").isNull().cast("int")), F.lit(0))).alias(
+            "failed_count")).select(
+            F.lit(source).alias("source"), F.lit("unique:student_id").alias("rule"), "failed_count")
+        rep = rep.unionByName(dup)
+    return rep

@@ -71,3 +71,14 @@ def k8_csv_vs_parquet(dom):
              FROM student_docs GROUP BY 1""")
 def n16_collection_pipeline(dom):
     return FL.collection_pipeline(dom, f"{L.landing_root(dom.spark, dom.dir)}/n16")
+
+
+@register("Q3_source_validation")
+def q3_source_validation(dom):
+    from tessera.operators.quality import validate_source
+
+    out = None
+    for name in FL.SOURCES:
+        r = validate_source(name, FL.RECIPES[name](dom))
+        out = r if out is None else out.unionByName(r)
+    return out

@@ -169,3 +169,66 @@ def test_streaming_rowwise_matches_batch(spark, tmp_path):
         from tessera.operators.clean import fill_missing
 
         fill_missing(stream)
+
+
+def test_feature_catalog_and_star_build(spark, dom, tmp_path):
+    from tessera.operators import star as ST
+
+    feats = spark.createDataFrame([(1,)], "student_id long").select(
+        "student_id", *[F.lit(0.0).alias(s.name) for s in FE.FEATURE_CATALOG])
+    assert FE.feature_catalog(spark, feats).count() == len(FE.FEATURE_CATALOG)
+    with pytest.raises(ValueError):
+        FE.feature_catalog(spark, feats.drop("city_rank"))
+    paths = ST.build_all(dom, str(tmp_path / "gold"))
+    assert set(paths) == {"dim_students", "dim_courses", "dim_instructors", "dim_time",
+                          "fact_student_performance", "fact_enrollment"}
+    fact = spark.read.parquet(paths["fact_student_performance"])
+    assert fact.count() == dom.assessments().count()  # grain: one row per assessment
+
+
+def test_small_cleaning_operators(spark):
+    from tessera.operators import clean as C
+
+    df = spark.createDataFrame([("M", "2001-02-30"), ("F", "2000-01-01"), ("X", None)], "sex string, dob string")
+    assert C.invalid_dob_rows(df, "dob").count() == 2
+    got = [r.g for r in df.select(C.recode("sex", {"M": "Male", "F": "Female"}).alias("g")).collect()]
+    assert got == ["Male", "Female", None]
+    ages = [r.a for r in df.select(C.age_from_dob(F.col("dob"), "2026-10-10").alias("a")).collect()]
+    assert ages == [None, 27, None]
+    std = C.standardize(spark.createDataFrame([("7", "Ann")], "student_id string, name string"))
+    assert std.columns == list(C.REQUIRED_COLUMNS) and std.first().student_id == 7
+    assert C.select_existing(std, ["name", "nope"]).columns == ["name"]
+
+
+def test_metric_and_feature_writers(spark, tmp_path):
+    from tessera.sinks import writers as W
+
+    feats = spark.createDataFrame([(2, "train", 1.5), (1, "test", 2.5)], "student_id long, split string, gpa double")
+    out = W.write_features(feats, str(tmp_path / "f"), FE.feature_catalog(spark))
+    assert spark.read.parquet(out["ml_features"]).columns == ["student_id", "gpa"]
+    assert spark.read.json(out["feature_metadata"]).count() == len(FE.FEATURE_CATALOG)
+    folds = spark.createDataFrame([("A", 0, 0.123456789)], "fs string, fold int, mae double")
+    W.write_metrics(folds, folds.groupBy("fs").count(), str(tmp_path / "m"))
+    assert spark.read.option("header", True).csv(str(tmp_path / "m/fold_metrics")).first().mae == "0.123457"
+
+
+def test_matrix_audit(spark):
+    df = spark.createDataFrame([(1.0, "a", 2.0, 9.0), (None, "b", 3.0, 9.0)], "x double, c string, y double, g3 double")
+    with pytest.raises(ValueError):
+        CV.feature_matrix(df, ["x", "g3"], ["c"], "y", forbidden=["g3"])
+    with pytest.raises(ValueError):
+        CV.feature_matrix(df, ["x"], ["c"], "y")
+    assert CV.feature_matrix(df.where("x is not null"), ["x"], ["c"], "y").columns == ["x", "c", "y"]
+
+
+def test_source_rules(spark):
+    from tessera.operators.quality import validate_source
+
+    df = spark.createDataFrame([(1, 20, None, None), (1, 99, None, None), (None, 20, 3.0, 50.0)],
+                               "student_id long, age long, gpa double, attendance double")
+    api = {r.rule: r.failed_count for r in validate_source("api", df).collect()}
+    assert api == {"not_null:student_id": 1, "range:age": 1}
+    csv = {r.rule: r.failed_count for r in validate_source("csv", df).collect()}
+    assert csv["unique:student_id"] == 1
+    scr = {r.rule: r.failed_count for r in validate_source("scraper", df).collect()}
+    assert scr["range:gpa"] == 2
