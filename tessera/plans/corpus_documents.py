@@ -30,7 +30,7 @@ def _docs(dom):
              FROM student_docs""")
 def f1_flatten_documents(dom):
     flat = D.flatten(_docs(dom))
-    return flat.withColumn("project_count", F.size("projects")).drop("projects")
+    return flat.withColumn("project_count", F.size("projects").cast("bigint")).drop("projects")
 
 
 @register("N1_by_city", f"SELECT student_id, personal.name AS name FROM student_docs WHERE personal.city = '{CITY}'")
@@ -156,7 +156,7 @@ CHANGES_SQL = """SELECT event_id AS seq,
                             COALESCE(list(value) FILTER (WHERE last = 'remove_skill'), []) AS rms
                      FROM sk GROUP BY student_id)
               SELECT d.student_id, COALESCE(g.g, d.academic.gpa) AS gpa,
-                     d.academic.attendance + COALESCE(i.i, 0) AS attendance,
+                     CAST(d.academic.attendance + COALESCE(i.i, 0) AS BIGINT) AS attendance,
                      list_sort(CASE WHEN s2.student_id IS NULL THEN d.skills
                           ELSE list_filter(list_distinct(list_concat(d.skills, s2.adds)),
                                            lambda x: NOT list_contains(s2.rms, x)) END) AS skills

@@ -66,8 +66,8 @@ def k8_csv_vs_parquet(dom):
 
 @register("N16_collection_pipeline",
           """SELECT personal.city AS city, COUNT(*) AS students, ROUND(AVG(academic.gpa), 6) AS average_gpa,
-                    SUM(CASE WHEN list_contains(skills, 'Python') THEN 1 ELSE 0 END) AS python_students,
-                    SUM(len(projects)) AS projects
+                    CAST(SUM(CASE WHEN list_contains(skills, 'Python') THEN 1 ELSE 0 END) AS BIGINT) AS python_students,
+                    CAST(SUM(len(projects)) AS BIGINT) AS projects
              FROM student_docs GROUP BY 1""")
 def n16_collection_pipeline(dom):
     return FL.collection_pipeline(dom, f"{L.landing_root(dom.spark, dom.dir)}/n16")

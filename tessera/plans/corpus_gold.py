@@ -59,7 +59,7 @@ def g5_fact_student_performance(dom):
 @register("G5_fact_grain_check",
           """SELECT COUNT(*) AS assessments,
                     COUNT(*) FILTER (WHERE m > 1) AS assessments_with_several_enrollments,
-                    COALESCE(SUM(m) FILTER (WHERE m > 1), 0) AS rows_if_all_matches_kept
+                    CAST(COALESCE(SUM(m) FILTER (WHERE m > 1), 0) AS BIGINT) AS rows_if_all_matches_kept
              FROM (SELECT a.assessment_id, COUNT(e.enrollment_id) AS m FROM assessments a
                    LEFT JOIN enrollments e ON a.student_id = e.student_id AND a.course_id = e.course_id
                    GROUP BY a.assessment_id) t""")

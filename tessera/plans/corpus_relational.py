@@ -271,10 +271,10 @@ def _band_sum(cond):
 
 @register("A6_band_counts",
           """SELECT COUNT(*) AS total_assessments,
-               SUM(CASE WHEN score >= 90 THEN 1 ELSE 0 END) AS excellent_count,
-               SUM(CASE WHEN score >= 80 AND score < 90 THEN 1 ELSE 0 END) AS very_good_count,
-               SUM(CASE WHEN score >= 70 AND score < 80 THEN 1 ELSE 0 END) AS good_count,
-               SUM(CASE WHEN score < 60 THEN 1 ELSE 0 END) AS weak_count
+               CAST(SUM(CASE WHEN score >= 90 THEN 1 ELSE 0 END) AS BIGINT) AS excellent_count,
+               CAST(SUM(CASE WHEN score >= 80 AND score < 90 THEN 1 ELSE 0 END) AS BIGINT) AS very_good_count,
+               CAST(SUM(CASE WHEN score >= 70 AND score < 80 THEN 1 ELSE 0 END) AS BIGINT) AS good_count,
+               CAST(SUM(CASE WHEN score < 60 THEN 1 ELSE 0 END) AS BIGINT) AS weak_count
              FROM assessments""")
 def a6_band_counts(dom):
     s = F.col("score")
@@ -304,8 +304,8 @@ def a7_band_percentages(dom):
 
 @register("A8_bands_by_course",
           """SELECT course_id, COUNT(*) AS total,
-               SUM(CASE WHEN score >= 90 THEN 1 ELSE 0 END) AS excellent,
-               SUM(CASE WHEN score < 60 THEN 1 ELSE 0 END) AS weak
+               CAST(SUM(CASE WHEN score >= 90 THEN 1 ELSE 0 END) AS BIGINT) AS excellent,
+               CAST(SUM(CASE WHEN score < 60 THEN 1 ELSE 0 END) AS BIGINT) AS weak
              FROM assessments GROUP BY course_id ORDER BY course_id""")
 def a8_bands_by_course(dom):
     s = F.col("score")

@@ -262,8 +262,8 @@ def q10_numeric_profile(dom):
                UNION ALL SELECT 'assessments', 'assessment_id', COUNT(*), bool_or(assessment_id IS NULL)
                       FROM assessments GROUP BY assessment_id)
              SELECT table_name, key_columns, COUNT(*) FILTER (WHERE n > 1) AS duplicate_keys,
-                    COALESCE(SUM(n) FILTER (WHERE n > 1), 0) AS rows_in_duplicates,
-                    COALESCE(SUM(n) FILTER (WHERE nk), 0) AS null_key_rows
+                    CAST(COALESCE(SUM(n) FILTER (WHERE n > 1), 0) AS BIGINT) AS rows_in_duplicates,
+                    CAST(COALESCE(SUM(n) FILTER (WHERE nk), 0) AS BIGINT) AS null_key_rows
              FROM k GROUP BY table_name, key_columns""")
 def q11_primary_keys(dom):
     parts = [

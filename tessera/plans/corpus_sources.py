@@ -141,7 +141,7 @@ def _courses(dom):
 
 
 @register("S8_course_files",
-          "SELECT course, COUNT(*) AS n_rows, SUM(G3) AS sum_g3, SUM(absences) AS sum_absences, "
+          "SELECT course, COUNT(*) AS n_rows, CAST(SUM(G3) AS BIGINT) AS sum_g3, CAST(SUM(absences) AS BIGINT) AS sum_absences, "
           "COUNT(*) FILTER (WHERE G3 = 0) AS zero_final FROM uci_rows GROUP BY course")
 def s8_course_files(dom):
     return _courses(dom).groupBy("course").agg(
@@ -153,7 +153,7 @@ def s8_course_files(dom):
           f"""WITH a AS (SELECT {KEYS_SQL}, COUNT(*) AS na FROM uci_rows WHERE course = 'mat' GROUP BY ALL),
                    b AS (SELECT {KEYS_SQL}, COUNT(*) AS nb FROM uci_rows WHERE course = 'por' GROUP BY ALL),
                    j AS (SELECT na, nb FROM a FULL OUTER JOIN b USING ({KEYS_SQL}))
-              SELECT COALESCE(SUM(na * nb), 0) AS matched_pairs, COUNT(*) AS union_keys,
+              SELECT CAST(COALESCE(SUM(na * nb), 0) AS BIGINT) AS matched_pairs, COUNT(*) AS union_keys,
                      COUNT(*) FILTER (WHERE na IS NOT NULL AND nb IS NOT NULL) AS shared_keys FROM j""")
 def i3_cross_file_match(dom):
     c = _courses(dom)
