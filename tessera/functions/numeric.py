@@ -27,6 +27,14 @@ def dbl(c) -> Column:
     return c.cast("double")
 
 
+def sample_std(c) -> Column:
+    """Sample standard deviation (ddof=1) over the non-NaN values; a
+    single value gives 0.0, no value gives NULL."""
+    c = F.col(c) if isinstance(c, str) else c
+    v = F.when(~F.isnan(c), c)
+    return F.when(F.count(v) == 1, F.lit(0.0)).otherwise(F.stddev_samp(v))
+
+
 def half_even_int(c) -> Column:
     """Round to the nearest integer, ties to even (NumPy semantics)."""
     c = F.col(c) if isinstance(c, str) else c

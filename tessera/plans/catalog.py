@@ -8,5 +8,6 @@ from tessera.plans import (  # noqa: F401
     corpus_relational,
     corpus_silver,
     corpus_sources,
+    corpus_units,
     corpus_windows,
 )
