@@ -172,3 +172,37 @@ def n11_n13_apply_event_changes(dom):
           f"SELECT student_id FROM student_docs WHERE NOT COALESCE(personal.city = '{CITY}', FALSE)")
 def n15_delete_by_city(dom):
     return D.delete_where(_docs(dom), F.col("personal.city") == CITY).select("student_id")
+
+
+@register("N12_skill_set_changes",
+          f"""WITH changes AS ({CHANGES_SQL}),
+              sk AS (SELECT student_id, value, arg_max(op, seq) AS last FROM changes
+                     WHERE op IN ('add_skill', 'remove_skill') GROUP BY student_id, value),
+              s2 AS (SELECT student_id, COALESCE(list(value) FILTER (WHERE last = 'add_skill'), []) AS adds,
+                            COALESCE(list(value) FILTER (WHERE last = 'remove_skill'), []) AS rms
+                     FROM sk GROUP BY student_id),
+              n AS (SELECT d.student_id, d.skills AS old,
+                           CASE WHEN s2.student_id IS NULL THEN d.skills
+                                ELSE list_filter(list_distinct(list_concat(d.skills, s2.adds)),
+                                                 lambda x: NOT list_contains(s2.rms, x)) END AS new
+                    FROM student_docs d LEFT JOIN s2 ON d.student_id = s2.student_id)
+              SELECT student_id, list_sort(new) AS skills,
+                     list_sort(old) IS DISTINCT FROM list_sort(new) AS modified FROM n""")
+def n12_skill_set_changes(dom):
+    ch = event_changes(dom).where(F.col("op").isin("add_skill", "remove_skill"))
+    out = D.apply_changes(_docs(dom), ch)
+    return out.select("student_id", F.array_sort("skills").alias("skills"), "modified")
+
+
+@register("N14_upsert_event_skills",
+          """WITH inc AS (SELECT user_id AS student_id, list_sort(list_distinct(list(event_type))) AS skills
+                          FROM events GROUP BY user_id)
+             SELECT COALESCE(d.student_id, i.student_id) AS student_id, COALESCE(i.skills, d.skills) AS skills,
+                    CASE WHEN d.student_id IS NOT NULL AND i.student_id IS NOT NULL THEN 'matched'
+                         WHEN i.student_id IS NOT NULL THEN 'inserted' ELSE 'unchanged' END AS _action
+             FROM student_docs d FULL OUTER JOIN inc i ON d.student_id = i.student_id""")
+def n14_upsert_event_skills(dom):
+    e = dom.spark.read.parquet(f"{dom.dir}/events.parquet")
+    inc = e.groupBy(F.col("user_id").alias("student_id")).agg(
+        F.array_sort(F.collect_set("event_type")).alias("skills"))
+    return D.upsert(_docs(dom).select("student_id", "skills"), inc).select("student_id", "skills", "_action")
