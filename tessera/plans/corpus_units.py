@@ -18,9 +18,9 @@ from tessera.operators.relational import fanout_student_metrics
 from tessera.operators.sequence import sequence
 from tessera.plans.corpus_gold import FACT_SQL, FEATURES_SQL, _fact, _features
 from tessera.plans.corpus_ml import AS_OF
-from tessera.plans.corpus_silver import CLEAN_CTES, _clean
+from tessera.plans.corpus_silver import CLEAN_CTES, TYPED_CTE, _clean
 from tessera.plans.corpus_sources import UCI_ETL_SQL, _courses
-from tessera.plans.flows import sqlite_source
+from tessera.plans.flows import csv_source, sqlite_source
 from tessera.plans.registry import register
 from tessera.sources import uci as U
 from tessera.sources.bronze import bronze_students
@@ -224,3 +224,21 @@ def e12_window_engine_parity(dom):
     bad = FE.compare_tables(a, b, ["assessment_id"])
     return f.agg(F.count(F.lit(1)).alias("rows_compared")).crossJoin(
         bad.agg(F.count(F.lit(1)).alias("mismatched_rows")))
+
+
+# ---------------------------------------------------------------- C9 (CSV source recipe)
+@register("C9_csv_source_fill",
+          f"""WITH {TYPED_CTE},
+              r AS (SELECT student_id, name, CASE WHEN age BETWEEN 16 AND 80 THEN age END AS age,
+                           CASE WHEN gpa BETWEEN 0 AND 4 THEN gpa END AS gpa,
+                           CASE WHEN attendance BETWEEN 0 AND 100 THEN attendance END AS attendance,
+                           city, ingest_ord FROM typed),
+              meds AS (SELECT median(age) AS ma, median(gpa) AS mg, median(attendance) AS mt FROM r),
+              f AS (SELECT student_id, name, COALESCE(age, CAST(round_even(ma, 0) AS BIGINT)) AS age,
+                           COALESCE(gpa, mg) AS gpa, COALESCE(attendance, mt) AS attendance, city, ingest_ord
+                    FROM r, meds)
+              SELECT student_id, name, age, gpa, attendance, city FROM f WHERE student_id IS NOT NULL
+              QUALIFY ROW_NUMBER() OVER (PARTITION BY student_id ORDER BY ingest_ord) = 1""")
+def c9_csv_source_fill(dom):
+    """The CSV recipe fills medians over the whole source *before* keep-first."""
+    return csv_source(dom).select("student_id", "name", "age", "gpa", "attendance", "city")
