@@ -207,6 +207,27 @@ def i2_entity_resolution(dom):
     return rows.crossJoin(stats).select("n_rows", "n_students", "multi_record", "single_record", "zero_final")
 
 
-@register("Q4_course_checks")
+# Q4 oracle: (rule, column, predicate); a NULL verdict fails except for the
+# two not-null rules, as in ``uci_checks``.
+_Q4_RULES = [
+    ("not_null:record_id", "record_id", "record_id IS NOT NULL"),
+    ("not_null:student_id", "student_id", "student_id IS NOT NULL"),
+    ("domain:course", "course", "course IN ('mat', 'por')"),
+    ("domain:gender", "gender", "gender IN ('Male', 'Female')"),
+    ("range:gpa", "gpa", "gpa BETWEEN 0 AND 4"),
+    ("range:attendance_rate", "attendance_rate", "attendance_rate BETWEEN 0 AND 1"),
+    ("range:age", "age", "age BETWEEN 15 AND 22"),
+    ("formula:score_change", "score_change", "score_change = score_final - score_1"),
+    ("formula:gpa", "gpa", "abs(gpa - score_final / 5.0) < 1e-9"),
+    ("const:n_assessments", "n_assessments", "n_assessments = 3"),
+    ("const:source", "source", "source = 'uci'"),
+    ("range:scores", "score_final", "score_final BETWEEN 0 AND 20"),
+]
+Q4_SQL = f"WITH {UCI_ETL_SQL} " + " UNION ALL ".join(
+    f"SELECT '{r}' AS rule, '{c}' AS column_name, COUNT(*) FILTER (WHERE NOT COALESCE({p}, FALSE)) AS failed_count, "
+    f"COUNT(*) AS total_rows FROM unified" for r, c, p in _Q4_RULES)
+
+
+@register("Q4_course_checks", Q4_SQL)
 def q4_course_checks(dom):
     return U.uci_checks(course_etl(dom))
