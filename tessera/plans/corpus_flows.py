@@ -1,14 +1,16 @@
 """Registered pipeline runs (P1-P6, Q5, Q8, Q9, K8).  Their outputs depend on
-several landed sources and cleaning recipes at once, so they are checked by
-row counts here and by unit tests on small fixtures."""
+several landed sources and cleaning recipes at once, so most are checked by
+row counts here and by unit tests on small fixtures; the report export (P6)
+is A11 after a CSV round trip and shares its oracle."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from tessera.operators import silver as SV
+from tessera.plans import corpus_relational  # noqa: F401  (registers A11, whose oracle P6 shares)
 from tessera.plans import flows as FL
-from tessera.plans.registry import register
+from tessera.plans.registry import REGISTRY, register
 from tessera.sinks import writers as W
 from tessera.sources import landing as L
 
@@ -48,7 +50,8 @@ def p1_single_source_pipeline(dom):
     return FL.single_source_pipeline(dom, f"{L.landing_root(dom.spark, dom.dir)}/p1_out")
 
 
-@register("P6_student_report_export")
+# the export is A11 after checks and a verified CSV round trip: same rows
+@register("P6_student_report_export", REGISTRY["A11_ml_feature_table"].oracle, domain_sql=False)
 def p6_student_report_export(dom):
     return FL.export_report(dom, f"{L.landing_root(dom.spark, dom.dir)}/p6_report")
 
