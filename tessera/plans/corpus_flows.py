@@ -1,7 +1,7 @@
 """Registered pipeline runs (P1-P6, Q5, Q8, Q9, K8).  Their outputs depend on
 several landed sources and cleaning recipes at once, so most are checked by
-row counts here and by unit tests on small fixtures; the report export (P6)
-is A11 after a CSV round trip and shares its oracle."""
+row counts here and by unit tests on small fixtures.  The single-source run
+(P1) and the report export (P6, A11 after a CSV round trip) have oracles."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tessera.operators import silver as SV
 from tessera.plans import corpus_relational  # noqa: F401  (registers A11, whose oracle P6 shares)
 from tessera.plans import flows as FL
+from tessera.plans.corpus_silver import CLEAN_CTES, _validate_sql
 from tessera.plans.registry import REGISTRY, register
 from tessera.sinks import writers as W
 from tessera.sources import landing as L
@@ -45,7 +46,17 @@ def q9_source_comparison(dom):
     return SV.compare_sources(SV.tag_sources(frames), SV.BASE_SOURCES)
 
 
-@register("P1_single_source_pipeline")
+_RULE_ORDER = ["empty", "not_null:student_id", "not_null:name", "range:age", "range:gpa", "range:attendance",
+               "unique:student_id"]
+P1_SQL = f"""WITH {CLEAN_CTES}, v AS ({_validate_sql('cleaned')})
+SELECT (SELECT COUNT(*) FROM bronze_students) AS rows_in, (SELECT COUNT(*) FROM cleaned) AS rows_out,
+       CASE WHEN COUNT(*) FILTER (WHERE failed_count > 0) = 0 THEN 'valid' ELSE 'invalid' END AS validation,
+       string_agg(rule || ': ' || CAST(failed_count AS VARCHAR), '; '
+                  ORDER BY list_position({_RULE_ORDER!r}, rule)) FILTER (WHERE failed_count > 0) AS errors
+FROM v"""
+
+
+@register("P1_single_source_pipeline", P1_SQL)
 def p1_single_source_pipeline(dom):
     return FL.single_source_pipeline(dom, f"{L.landing_root(dom.spark, dom.dir)}/p1_out")
 
