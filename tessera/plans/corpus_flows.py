@@ -1,7 +1,8 @@
 """Registered pipeline runs (P1-P6, Q5, Q8, Q9, K8).  Their outputs depend on
 several landed sources and cleaning recipes at once, so most are checked by
 row counts here and by unit tests on small fixtures.  The single-source run
-(P1) and the report export (P6, A11 after a CSV round trip) have oracles."""
+(P1), the per-source validation (Q3) and the report export (P6, A11 after a
+CSV round trip) have oracles."""
 
 from __future__ import annotations
 
@@ -10,7 +11,8 @@ from pyspark.sql import functions as F
 from tessera.operators import silver as SV
 from tessera.plans import corpus_relational  # noqa: F401  (registers A11, whose oracle P6 shares)
 from tessera.plans import flows as FL
-from tessera.plans.corpus_silver import CLEAN_CTES, _validate_sql
+from tessera.plans.corpus_silver import CLEAN_CTES, TYPED_CTE, _validate_sql
+from tessera.plans.corpus_sources import _cell, _dbl, _trunc
 from tessera.plans.registry import REGISTRY, register
 from tessera.sinks import writers as W
 from tessera.sources import landing as L
@@ -87,7 +89,33 @@ def n16_collection_pipeline(dom):
     return FL.collection_pipeline(dom, f"{L.landing_root(dom.spark, dom.dir)}/n16")
 
 
-@register("Q3_source_validation")
+# Q3 oracle: each source's recipe restated in SQL, then its rule counts.
+Q3_SQL = f"""WITH {TYPED_CTE},
+  csv_r AS (SELECT student_id, CASE WHEN age BETWEEN 16 AND 80 THEN age END AS age, ingest_ord FROM typed),
+  csv_src AS (SELECT student_id FROM csv_r WHERE student_id IS NOT NULL
+              QUALIFY ROW_NUMBER() OVER (PARTITION BY student_id ORDER BY ingest_ord) = 1),
+  scr AS (SELECT ingest_ord, {_trunc(_cell('student_id'))} AS student_id, {_trunc(_cell('age'))} AS age,
+                 {_dbl(_cell('gpa'))} AS gpa, {_dbl(_cell('attendance'))} AS attendance
+          FROM bronze_students WHERE ingest_ord % 4 = 0 AND (ingest_ord / 4) % 31 <> 0),
+  scr_src AS (SELECT * FROM scr WHERE student_id IS NOT NULL
+              QUALIFY ROW_NUMBER() OVER (PARTITION BY student_id ORDER BY ingest_ord) = 1),
+  api_src AS (SELECT c_custkey AS student_id, 17 + c_custkey % 45 AS age FROM customer)
+SELECT 'csv' AS source, 'not_null:student_id' AS rule, COUNT(*) FILTER (WHERE student_id IS NULL) AS failed_count
+  FROM csv_src
+UNION ALL SELECT 'csv', 'unique:student_id',
+  COUNT(*) - COUNT(DISTINCT student_id) - COALESCE(MAX(CASE WHEN student_id IS NULL THEN 1 ELSE 0 END), 0) FROM csv_src
+UNION ALL SELECT 'api', 'not_null:student_id', COUNT(*) FILTER (WHERE student_id IS NULL) FROM api_src
+UNION ALL SELECT 'api', 'range:age', COUNT(*) FILTER (WHERE NOT COALESCE(age BETWEEN 16 AND 80, TRUE)) FROM api_src
+UNION ALL SELECT 'scraper', 'not_null:student_id', COUNT(*) FILTER (WHERE student_id IS NULL) FROM scr_src
+UNION ALL SELECT 'scraper', 'range:age', COUNT(*) FILTER (WHERE NOT COALESCE(age BETWEEN 16 AND 80, FALSE)) FROM scr_src
+UNION ALL SELECT 'scraper', 'range:gpa', COUNT(*) FILTER (WHERE NOT COALESCE(gpa BETWEEN 0 AND 4, FALSE)) FROM scr_src
+UNION ALL SELECT 'scraper', 'range:attendance',
+  COUNT(*) FILTER (WHERE NOT COALESCE(attendance BETWEEN 0 AND 100, FALSE)) FROM scr_src
+UNION ALL SELECT 'mongodb', 'not_null:student_id', COUNT(*) FILTER (WHERE student_id IS NULL) FROM student_docs
+UNION ALL SELECT 'sqlite', 'not_null:student_id', COUNT(*) FILTER (WHERE student_id IS NULL) FROM students"""
+
+
+@register("Q3_source_validation", Q3_SQL)
 def q3_source_validation(dom):
     from tessera.operators.quality import validate_source
 
