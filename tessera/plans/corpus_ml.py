@@ -17,7 +17,7 @@ from tessera.operators import cv as CV
 from tessera.operators import models as MD
 from tessera.functions.numeric import exact_avg
 from tessera.operators.clean import age_from_dob
-from tessera.plans.registry import register
+from tessera.plans.registry import register, with_domain
 
 # Reference date for ages and the experiment grid.
 AS_OF = "2026-10-10"
@@ -85,13 +85,43 @@ def m3_kfold5_sizes(dom):
     return CV.kfold(ml_matrix(dom), 5, id_col="row_id").groupBy("fold").agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("M4_group_kfold5_report")
+def _group_folds_sql(k: int, tail: str) -> str:
+    """Oracle of GroupKFold(k): the plain one-group-at-a-time lightest-fold
+    greedy (largest groups first, ties to the lowest fold) as a recursive CTE,
+    giving per-fold test rows and groups in ``fin``; ``tail`` selects from it."""
+    zeros = ", ".join(["0"] * k)
+    pick = "k = list_position(s.totals, list_min(s.totals))"
+    body = with_domain(f"""WITH {MATRIX_SQL},
+  sizes AS (SELECT student_id, COUNT(*) AS n FROM matrix GROUP BY student_id),
+  g AS (SELECT ROW_NUMBER() OVER (ORDER BY n DESC, student_id) AS i, n FROM sizes),
+  steps(i, totals, counts) AS (
+    SELECT 0, [{zeros}]::BIGINT[], [{zeros}]::BIGINT[]
+    UNION ALL
+    SELECT s.i + 1,
+           list_transform(range(1, {k + 1}), lambda k: s.totals[k] + CASE WHEN {pick} THEN g.n ELSE 0 END),
+           list_transform(range(1, {k + 1}), lambda k: s.counts[k] + CASE WHEN {pick} THEN 1 ELSE 0 END)
+    FROM steps s JOIN g ON g.i = s.i + 1),
+  fin AS (SELECT totals, counts FROM steps ORDER BY i DESC LIMIT 1),
+  tot AS (SELECT SUM(n) AS rows_all, COUNT(*) AS groups_all FROM sizes),
+  per AS (SELECT CAST(k - 1 AS INTEGER) AS fold, fin.totals[k] AS test_rows, fin.counts[k] AS test_groups,
+                 CAST(tot.rows_all - fin.totals[k] AS BIGINT) AS train_rows,
+                 tot.groups_all - fin.counts[k] AS train_groups
+          FROM fin, tot, range(1, {k + 1}) r(k))
+{tail}""")
+    return "WITH RECURSIVE " + body[len("WITH "):]
+
+
+@register("M4_group_kfold5_report",
+          _group_folds_sql(5, "SELECT *, CAST(0 AS BIGINT) AS leaking_groups FROM per"), domain_sql=False)
 def m4_group_kfold5_report(dom):
     """M4 + M6: fold sizes and leakage (no group may appear in two folds)."""
     return CV.leakage_report(CV.group_kfold(ml_matrix(dom), 5, "student_id"))
 
 
-@register("M7_describe_cv")
+@register("M7_describe_cv",
+          _group_folds_sql(3, "SELECT COUNT(*) AS n_splits, list_sort(list_distinct(list(train_rows))) AS train_sizes, "
+                              "list_sort(list_distinct(list(test_rows))) AS test_sizes FROM per"),
+          domain_sql=False)
 def m7_describe_cv(dom):
     return CV.describe_cv(CV.group_kfold(ml_matrix(dom), 3, "student_id"))
 
