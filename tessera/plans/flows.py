@@ -21,6 +21,7 @@ from tessera.operators import silver as SV
 from tessera.sinks import writers as W
 from tessera.sources import landing as L
 from tessera.sources import readers as R
+from tessera.session import ensure_checkpoint_dir
 from tessera.sources.documents import student_documents
 
 # Reference date for ages derived from a date of birth.
@@ -92,7 +93,10 @@ class SourceResult:
 def run_source(dom, name: str) -> SourceResult:
     """Extract -> transform -> validate; errors are captured in the result."""
     try:
-        df = RECIPES[name](dom)
+        # materialised once in the shared checkpoint dir: the status count,
+        # validation and the merge then read it instead of re-running the recipe
+        ensure_checkpoint_dir(dom.spark)
+        df = RECIPES[name](dom).checkpoint(eager=True)
         n = df.count()
         if n == 0:
             raise ValueError("no rows")
@@ -116,7 +120,7 @@ def run_merge(dom, out_dir: str | None = None, include_uci: bool = True) -> Data
 
     _, frames = run_all(dom)
     uci = course_etl(dom) if include_uci else None
-    merged = SV.merge(uci, frames)
+    merged = SV.merge(uci, frames).checkpoint(eager=True)  # verified and returned from one materialisation
     Q.raise_if_invalid(SV.verify(merged))
     if out_dir:
         W.write_parquet(merged, out_dir, partition_by=["source"])
