@@ -230,3 +230,24 @@ def e12_window_engine_parity(dom):
     bad = FE.compare_tables(a, b, ["assessment_id"])
     return f.agg(F.count(F.lit(1)).alias("rows_compared")).crossJoin(
         bad.agg(F.count(F.lit(1)).alias("mismatched_rows")))
+
+
+# ---------------------------------------------------------------- E10
+def _e10_sql() -> str:
+    def bound(v):
+        return "CAST(NULL AS DOUBLE)" if v is None else f"CAST({v} AS DOUBLE)"
+
+    parts = []
+    for spec in FE.FEATURE_CATALOG:
+        conds = ([f"{spec.name} < {spec.range_min}"] if spec.range_min is not None else []) + (
+            [f"{spec.name} > {spec.range_max}"] if spec.range_max is not None else [])
+        bad = f"COUNT(*) FILTER (WHERE {' OR '.join(conds)})" if conds else "CAST(0 AS BIGINT)"
+        parts.append(f"SELECT '{spec.name}' AS name, {bound(spec.range_min)} AS range_min, "
+                     f"{bound(spec.range_max)} AS range_max, COUNT({spec.name}) AS non_null, {bad} AS out_of_range "
+                     f"FROM final")
+    return FEATURES_SQL + "\n" + " UNION ALL ".join(parts)
+
+
+@register("E10_catalog_range_check", _e10_sql())
+def e10_catalog_range_check(dom):
+    return FE.catalog_range_check(_features(dom))

@@ -143,6 +143,22 @@ def test_compare_tables_tolerance(spark):
     assert bad == {2, 3}
 
 
+def test_catalog_range_check_counts_violations(spark):
+    rows = [(0.5, 3.0, 1.0, "Good", 0.0, 1), (1.2, -1.0, None, "Pass", 2.0, 0), (None, 11.0, 0.5, "Weak", 1.0, None)]
+    df = spark.createDataFrame(rows, "attendance_rate double, academic_risk_score double, score_change double, "
+                                     "performance_level string, city_score_gap double, city_rank long")
+    got = {r.name: (r.non_null, r.out_of_range) for r in FE.catalog_range_check(df).collect()}
+    # brute force over the same rows and the catalogue's bounds
+    for i, spec in enumerate(FE.FEATURE_CATALOG):
+        vals = [r[i] for r in rows if r[i] is not None]
+        bad = [v for v in vals if (spec.range_min is not None and v < spec.range_min)
+               or (spec.range_max is not None and v > spec.range_max)]
+        assert got[spec.name] == (len(vals), len(bad)), spec.name
+    assert got["attendance_rate"] == (2, 1) and got["academic_risk_score"] == (3, 2) and got["city_rank"] == (2, 1)
+    with pytest.raises(ValueError):
+        FE.catalog_range_check(df.drop("city_rank"))
+
+
 def test_synthetic_generator_is_partition_independent(spark):
     a = FE.synthetic_students(spark, 500, partitions=1)
     b = FE.synthetic_students(spark, 500, partitions=7)
