@@ -248,3 +248,14 @@ def test_source_rules(spark):
     assert csv["unique:student_id"] == 1
     scr = {r.rule: r.failed_count for r in validate_source("scraper", df).collect()}
     assert scr["range:gpa"] == 2
+
+
+def test_sample_std_rules(spark):
+    """ddof=1, a single value gives 0.0, NaN is excluded, no value gives NULL."""
+    from tessera.functions.numeric import sample_std
+
+    rows = [("a", 1.0), ("a", 2.0), ("a", 4.0), ("b", 3.0), ("c", float("nan")), ("c", 5.0), ("d", None)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    got = {r.g: r.s for r in df.groupBy("g").agg(sample_std("x").alias("s")).collect()}
+    assert got["a"] == pytest.approx(float(np.std([1.0, 2.0, 4.0], ddof=1)))
+    assert got["b"] == 0.0 and got["c"] == 0.0 and got["d"] is None
