@@ -6,8 +6,9 @@ texts) and goes to one node per pick, named by (coordinate, value): two texts
 of similarity J share a node with probability J per pick, and 1/threshold
 picks are expected, so linked texts stay together while others part.  A node of
 few texts is compared by brute force on the minhash values; a larger node is
-split again by coordinates drawn for that node.  The whole is repeated until
-the target recall (``runs``: from the branching process at the threshold).
+split again by coordinates drawn for that node, 1/threshold expected.  The whole
+is repeated until the target recall (``runs``: from the branching process at the
+threshold); a node that several runs reach is worked on once.
 
 Candidate groups are verified exactly: all pairs of a group, in blocks, by the
 Jaccard similarity of their window sets.
@@ -138,61 +139,59 @@ def _against(m: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.stack([(m == p).mean(axis=1) for p in pivots], axis=1)
 
 
-def _split(node: int, m: np.ndarray, idx: np.ndarray, runs: int, threshold: float, leaf: int, out: list) -> None:
-    """Recursion inside one task over rows ``idx`` of ``m``; appends (a, b) index arrays."""
-    todo = [(node, idx)]
+def _split(node: int, m: np.ndarray, idx: np.ndarray, threshold: float, leaf: int, out: list) -> list[np.ndarray]:
+    """Recursion inside one task over rows ``idx`` of ``m``: appends (a, b) index
+    arrays of ties to pivots, returns the leaves."""
+    todo, leaves = [(node, idx)], []
     while todo:
         node, idx = todo.pop()
         if len(idx) <= leaf:
-            a, b = _near(m[idx], np.array([0]), (threshold - MARGIN) * T)
-            out.append((idx[a], idx[b]))
+            leaves.append(idx)
             continue
         r = np.random.default_rng(node & (2**63 - 1))
-        pv = r.choice(len(idx), PIVOTS, replace=False)
+        pv = r.choice(len(idx), min(PIVOTS, len(idx)), replace=False)
         s = _against(m[idx], m[idx[pv]])
         tie = s >= 2 * threshold - 1 - MARGIN
-        for p in range(PIVOTS):
+        for p in range(len(pv)):
             x = idx[tie[:, p]]
             out.append((x, np.full(len(x), idx[pv[p]])))
         rest = idx[(s < threshold).all(axis=1)]
-        seen = set()
-        for run in range(runs):
-            for c in picks(node, run, threshold):
-                if c in seen or not len(rest):
-                    continue
-                seen.add(c)
-                v = _child(node, int(c), m[rest, c])
-                order = np.argsort(v, kind="stable")
-                v, sub = v[order], rest[order]
-                at = np.flatnonzero(np.r_[True, v[1:] != v[:-1]])
-                for lo, hi in zip(at, np.r_[at[1:], len(v)], strict=True):
-                    if hi - lo > 1:
-                        todo.append((int(v[lo]), sub[lo:hi]))
-
-
-def _leaves(runs: int, threshold: float, leaf: int):
+        for c in picks(node, 0, threshold) if len(rest) else ():
+            v = _child(node, int(c), m[rest, c])
+            order = np.argsort(v, kind="stable")
+            v, sub = v[order], rest[order]
+            at = np.flatnonzero(np.r_[True, v[1:] != v[:-1]])
+            for lo, hi in zip(at, np.r_[at[1:], len(v)], strict=True):
+                if hi - lo > 1:
+                    todo.append((int(v[lo]), sub[lo:hi]))
+    return leaves
+
+
+def _leaves(threshold: float, leaf: int):
     def run(b: pd.DataFrame, starts: np.ndarray):
         m = np.frombuffer(b"".join(b["sk"]), dtype=np.uint32).reshape(len(b), T)
         member = b["key"].to_numpy(dtype=object)
         ends = np.r_[starts[1:], len(b)]
         big = np.flatnonzero(ends - starts > leaf)
         aa, bb = [], []
-        if len(big):
-            for g in big:
-                out: list = []
-                _split(int(b["node"].iloc[starts[g]]), m, np.arange(starts[g], ends[g]), runs, threshold, leaf, out)
-                aa += [x for x, _ in out]
-                bb += [y for _, y in out]
+        groups = []
         keep = np.ones(len(b), dtype=bool)
         for g in big:
+            out: list = []
             keep[starts[g]: ends[g]] = False
-        rows = np.flatnonzero(keep)
-        if len(rows):
-            gid = np.repeat(np.arange(len(starts)), ends - starts)[rows]
-            at = np.flatnonzero(np.r_[True, gid[1:] != gid[:-1]])
-            a, c = _near(m[rows], at, (threshold - MARGIN) * T)
-            aa.append(rows[a])
-            bb.append(rows[c])
+            groups += _split(int(b["node"].iloc[starts[g]]), m, np.arange(starts[g], ends[g]), threshold, leaf, out)
+            aa += [x for x, _ in out]
+            bb += [y for _, y in out]
+        # all leaves one after another
+        rows = np.concatenate([np.flatnonzero(keep), *groups]).astype(np.int64)
+        gid = np.concatenate([np.repeat(np.arange(len(starts)), ends - starts)[keep], *[np.full(len(x), len(starts) + i) for i, x in enumerate(groups)]])
+        heads = np.flatnonzero(np.r_[True, gid[1:] != gid[:-1]]) if len(rows) else np.empty(0, dtype=np.int64)
+        for k in range(0, len(heads), 2000):
+            lo, hi = heads[k], heads[k + 2000] if k + 2000 < len(heads) else len(rows)
+            at = np.flatnonzero(np.r_[True, gid[lo + 1: hi] != gid[lo: hi - 1]])
+            a, c = _near(m[rows[lo:hi]], at, (threshold - MARGIN) * T)
+            aa.append(rows[lo:hi][a])
+            bb.append(rows[lo:hi][c])
         if aa:
             x, y = _star(member, np.concatenate(aa), np.concatenate(bb))
             if x:
@@ -201,7 +200,7 @@ def _leaves(runs: int, threshold: float, leaf: int):
     return run
 
 
-def _deal(threshold: float, runs: int):
+def _deal(threshold: float):
     """Rows (node, key, sk, pivots) of nodes too large for a task: ties to the
     pivots (edge rows) and children of the texts that are near none."""
 
@@ -217,36 +216,32 @@ def _deal(threshold: float, runs: int):
                     if len(x):
                         yield pd.DataFrame({"a": x, "b": [pk[p]] * len(x), "node": None, "sk": None}).astype({"node": "Int64"})
                 rest = (s < threshold).all(axis=1)
-                seen = set()
-                for r in range(runs):
-                    for c in picks(int(node), r, threshold):
-                        if c not in seen and rest.any():
-                            seen.add(c)
-                            yield pd.DataFrame({"a": key[rest], "b": None, "node": pd.array(_child(int(node), int(c), m[rest, c]), dtype="Int64"), "sk": g["sk"].to_numpy(dtype=object)[rest]})
+                for c in picks(int(node), 0, threshold) if rest.any() else ():
+                    yield pd.DataFrame({"a": key[rest], "b": None, "node": pd.array(_child(int(node), int(c), m[rest, c]), dtype="Int64"), "sk": g["sk"].to_numpy(dtype=object)[rest]})
 
     return run
 
 
-def candidates(classes: DataFrame, threshold: float, runs: int, leaf: int, node: int) -> DataFrame:
+def candidates(classes: DataFrame, threshold: float, leaf: int, node: int) -> DataFrame:
     """(key, sk, nodes) -> spanning edges (a, b) of the candidate groups."""
     light = classes.select("key", F.explode("nodes").alias("node"))
     full = light.groupBy("node").agg(F.count("*").alias("n")).where("n > 1")
     rows = light.join(full, "node").join(classes.select("key", "sk"), "key")
     rows = materialise(rows.select("node", "key", "sk", "n"), "nodes")
     spec = "a binary, b binary"
-    edges = sorted_groups(rows.where(F.col("n") <= node).select("node", "key", "sk"), ["node"], _leaves(runs, threshold, leaf), spec)
+    edges = sorted_groups(rows.where(F.col("n") <= node).select("node", "key", "sk"), ["node"], _leaves(threshold, leaf), spec)
     large = rows.where(F.col("n") > node)
     parts = [materialise(edges, "edges")]
     while not large.isEmpty():
         pivots = (large.groupBy("node", F.pmod(F.xxhash64("key", "node"), F.lit(PIVOTS)).alias("_s"))
                   .agg(F.min(F.struct("key", "sk")).alias("p")).groupBy("node").agg(F.collect_list("p").alias("pivots")))
         dealt = materialise(large.select("node", "key", "sk").join(pivots, "node")
-                            .mapInPandas(_deal(threshold, runs), "a binary, b binary, node long, sk binary"), "dealt")
+                            .mapInPandas(_deal(threshold), "a binary, b binary, node long, sk binary"), "dealt")
         parts.append(dealt.where("b IS NOT NULL").select("a", "b"))
         sub = dealt.where("b IS NULL").select("node", F.col("a").alias("key"), "sk")
         rows = materialise(sub.join(sub.groupBy("node").agg(F.count("*").alias("n")).where("n > 1"), "node"), "nodes")
         parts.append(materialise(sorted_groups(rows.where(F.col("n") <= node).select("node", "key", "sk"), ["node"],
-                                               _leaves(runs, threshold, leaf), spec), "edges"))
+                                               _leaves(threshold, leaf), spec), "edges"))
         large = rows.where(F.col("n") > node)
     out = parts[0]
     for p in parts[1:]:
@@ -292,7 +287,7 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     s = materialise(d.mapInPandas(_sketches(n, threshold, runs), f"id {id_type}, key binary, sk binary, nodes array<bigint>"), "sketch")
     classes = materialise(s.groupBy("key").agg(F.count("*").alias("copies"), F.min("id").alias("rep"),
                                                F.first("sk").alias("sk"), F.first("nodes").alias("nodes")), "classes")
-    edges = candidates(classes.where("sk IS NOT NULL").select("key", "sk", "nodes"), threshold, runs, leaf, node)
+    edges = candidates(classes.where("sk IS NOT NULL").select("key", "sk", "nodes"), threshold, leaf, node)
     groups = connected_components(edges)
     member = groups.join(classes.select("key", "copies", "rep"), groups.v == F.col("key")).select("comp", "key", "copies", "rep")
     d = d.withColumn("_k", F.unhex(F.md5(F.coalesce("_text", F.lit("")))))
