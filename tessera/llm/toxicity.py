@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialise
+from tessera.llm.common import materialise, text_key
 from tessera.llm.quality_classifier import fit_logistic
 
 SAMPLE = 4_000    # examples of each class, at most
@@ -102,6 +102,24 @@ def vectorise(vocabulary: list[str]):
     return run
 
 
+def document_frequencies(vec: DataFrame, n: int) -> np.ndarray:
+    """Texts that hold each of the ``n`` terms, summed inside each task first."""
+
+    def count(batches):
+        have = np.zeros(n, dtype=np.int64)
+        for b in batches:
+            flat = [np.asarray(x, dtype=np.int64) for x in b["idx"] if len(x)]
+            if flat:
+                have += np.bincount(np.concatenate(flat), minlength=n)
+        at = np.flatnonzero(have)
+        yield pd.DataFrame({"i": at, "n": have[at]})
+
+    df = np.ones(max(1, n))
+    for r in vec.select("idx").mapInPandas(count, "i long, n long").groupBy("i").agg(F.sum("n").alias("n")).collect():  # at most n rows
+        df[r.i] = r.n
+    return df
+
+
 class Index:
     """Block-max inverted index over unit TF-IDF vectors."""
 
@@ -192,14 +210,14 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     d = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     id_type = dict(d.dtypes)["_id"]
     pick, n = examples(labels, id_col, label_col, sample)
-    some = F.broadcast(pick)  # at most 2 * sample rows
-    vocabulary = choose_terms(d.join(some, F.col("_id") == F.col("_lid")).select("_text", "y"), most_terms)
+    # at most 2 * sample rows; copies are one example, as they are no further evidence
+    texts = d.join(F.broadcast(pick), F.col("_id") == F.col("_lid")).withColumn("_key", text_key(F.col("_text")))
+    texts = materialise(texts.groupBy("_key").agg(F.min(F.struct("_lid", "y", "_text")).alias("e")).select("e.*"), "texts")
+    vocabulary = choose_terms(texts.select("_text", "y"), most_terms)
     vec = materialise(d.mapInPandas(vectorise(vocabulary), f"id {id_type}, idx array<int>, tf array<int>"), "vectors")
-    df = np.ones(max(1, len(vocabulary)))
-    for r in vec.select(F.explode("idx").alias("i")).groupBy("i").agg(F.count("*").alias("n")).collect():  # at most TERMS rows
-        df[r.i] = r.n
-    idf = np.log((vec.count() + 1) / df)
-    got = vec.join(some, F.col("id") == F.col("_lid")).groupBy("id").agg(F.first(F.struct("y", "idx", "tf")).alias("v")).collect()
+    idf = np.log((vec.count() + 1) / document_frequencies(vec, len(vocabulary)))
+    got = (vec.join(F.broadcast(texts.select("_lid", "y")), F.col("id") == F.col("_lid"))
+           .groupBy("id").agg(F.first(F.struct("y", "idx", "tf")).alias("v")).collect())
     rows = [(r.id, r.v.y, r.v.idx, r.v.tf) for r in got]
     full = [r for r in rows if len(r[2])]
     index = Index(full, idf) if full else None
