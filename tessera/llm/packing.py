@@ -29,9 +29,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DIMS, LEVELS = 4, 8     # curve: 2^8 cells a side in 4 dimensions
-WIDTH = 4096            # components of the hashed vector
+WIDTH = 1024            # components of the hashed vector
 LENGTH = 1024
-_MASK = np.int64(WIDTH - 1)
+_MIX = np.array([0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35], dtype=np.uint32)
+_SHIFT = np.uint32(32 - WIDTH.bit_length() + 1)
 
 
 @functools.cache
@@ -44,9 +45,9 @@ def vectors(texts) -> np.ndarray:
     p = _projection()
     out = np.full((len(texts), DIMS), 0.5)
     for i, t in enumerate(texts):
-        b = np.frombuffer((t or "").encode("utf-8", "surrogatepass"), dtype=np.uint8).astype(np.int64)
+        b = np.frombuffer((t or "").encode("utf-8", "surrogatepass"), dtype=np.uint8).astype(np.uint32)
         if len(b) >= 3:
-            h = (b[:-2] * 0x9E3779B1 + b[1:-1] * 0x85EBCA6B + b[2:] * 0xC2B2AE35) >> 7 & _MASK
+            h = (b[:-2] * _MIX[0] + b[1:-1] * _MIX[1] + b[2:] * _MIX[2]) >> _SHIFT
             v = np.sqrt(np.bincount(h, minlength=WIDTH))
             out[i] = 1 / (1 + np.exp(-1.7 * ((v / np.sqrt(v @ v)) @ p)))
     return out
@@ -115,9 +116,15 @@ class Encoder:
         return np.array(self.slow.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
 
 
+@functools.cache
+def encoder(path: str | None) -> Encoder:
+    """One per Python worker."""
+    return Encoder(path)
+
+
 def _pack(path: str | None, length: int):
     def run(batches):
-        encode = Encoder(path)
+        encode = encoder(path)
         base = TaskContext.get().partitionId() << 40
         seq, at = 0, 0
         last_text, last_ids = None, None
