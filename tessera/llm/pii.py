@@ -103,11 +103,19 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), BETWEEN, -1), lambda w: w != "")
 
 
+def _entities(line: Column, kind: str) -> Column:
+    return F.transform(found(line, kind), lambda s: F.concat(F.lit(f"{kind}:"), F.lower(s["value"])))
+
+
+def _masks(kind: str) -> Column:
+    return F.transform(kind, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(MASK[kind]).alias("mask")))
+
+
 def joint_counts(base: DataFrame) -> tuple[DataFrame, DataFrame]:
     """((entity, term, together, support), (entity, words)): occurrences of a
     term in lines with an entity, their different neighbourhoods, and the words of those lines."""
     line = base.where(F.size("lines") > 0).select(F.explode("lines").alias("line"))
-    ent = F.concat(*[F.transform(found(F.col("line"), k), lambda s, k=k: F.concat(F.lit(f"{k}:"), F.lower(s["value"]))) for k in KINDS])
+    ent = F.concat(*[_entities(F.col("line"), k) for k in KINDS])
     line = line.select(tokens(F.col("line")).alias("w"), F.array_distinct(ent).alias("entities")).select("w", F.explode("entities").alias("entity"))
     words = line.groupBy("entity").agg(F.sum(F.size("w")).alias("words"))
     term = F.transform("w", lambda t, i: F.struct(t.alias("term"), F.xxhash64(F.get("w", i - 1), F.get("w", i + 1)).alias("near")))
@@ -187,7 +195,7 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     removed in the texts; overlapping spans are taken from the leftmost on."""
     s = pii_spans(docs, id_col, text_col, **params)
     every = F.array_sort(F.concat(
-        *[F.transform(k, lambda x, k=k: F.struct(x["start"].alias("start"), x["end"].alias("end"), F.lit(MASK[k]).alias("mask"))) for k in KINDS],
+        *[_masks(k) for k in KINDS],
         F.transform("terms", lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), F.when(x["action"] == "remove", REMOVED).otherwise(GENERAL).alias("mask")))))
     s = materialise(s.select(F.col("id").alias("_i"), F.col("key").alias("_k"), every.alias("_spans")).where(F.size("_spans") > 0).dropDuplicates(["_i", "_k"]), "masks")
     d = docs.join(broadcast_if_small(s, 20_000), docs[id_col].eqNullSafe(F.col("_i")) & (text_key(docs[text_col]) == F.col("_k")), "left")
