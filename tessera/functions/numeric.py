@@ -52,18 +52,25 @@ _INT_LIMIT = 9.2e18
 
 
 def coerce_int(c) -> Column:
-    """Parse to BIGINT through DOUBLE; a non-integral value becomes NULL
-    (not truncated), so '20.0' -> 20 and '20.7' -> NULL."""
+    """Parse to BIGINT; a non-integral value becomes NULL (not truncated),
+    so '20.0' -> 20 and '20.7' -> NULL.  Whole numbers never pass through DOUBLE,
+    so ids above 2^53 stay apart."""
     d = coerce_double(c)
     ok = (d == F.floor(d)) & (F.abs(d) < _INT_LIMIT)
-    return F.when(ok, d.cast("bigint"))
+    return F.when(ok, F.coalesce(_whole(c), d.cast("bigint")))
+
+
+def _whole(c) -> Column:
+    """The exact BIGINT of a whole number written with or without zero decimals, else NULL."""
+    s = (F.col(c) if isinstance(c, str) else c).cast("string")
+    return F.coalesce(s.try_cast("bigint"), F.regexp_replace(s, r"\.0*\s*$", "").try_cast("bigint"))
 
 
 def coerce_int_half_even(c) -> Column:
     """Parse, then round half to even to an integer ('2.5' -> 2, '3.5' -> 4)."""
     d = coerce_double(c)
     r = F.rint(d)
-    return F.when(F.abs(r) < _INT_LIMIT, r.cast("bigint"))
+    return F.when(F.abs(r) < _INT_LIMIT, F.coalesce(_whole(c), r.cast("bigint")))
 
 
 def truncate_int(c) -> Column:

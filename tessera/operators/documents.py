@@ -161,21 +161,25 @@ def apply_changes(docs: DataFrame, changes: DataFrame) -> DataFrame:
     return out.drop("__gpa", "__inc", "__add", "__rm", "__del")
 
 
-def upsert(docs: DataFrame, incoming: DataFrame, key: str = "student_id") -> DataFrame:
-    """Top-level fields of incoming documents replace the stored ones;
-    absent fields are kept; unknown keys are inserted.  Adds ``_action`` in
+def upsert(docs: DataFrame, incoming: DataFrame, key: str = "student_id", seq: str | None = None) -> DataFrame:
+    """The fields of an incoming document (all its columns but ``key`` and
+    ``seq``) replace the stored ones, NULL included; fields new to the store are
+    added; stored fields that are not among them are kept; unknown keys are inserted.  Of several
+    incoming documents of a key the one with the highest ``seq`` counts.  Adds ``_action`` in
     {'matched', 'inserted', 'unchanged'} for counting with an Observation."""
-    cols = docs.columns
-    inc = incoming.select(key, *[F.col(c).alias(f"__n_{c}") for c in incoming.columns if c != key],
-                          F.lit(True).alias("__incoming"))
+    fields = [c for c in incoming.columns if c not in (key, seq)]
+    if seq is not None:
+        incoming = (incoming.groupBy(key).agg(F.max_by(F.struct(*fields), seq).alias("__d"))
+                    .select(key, *[F.col(f"__d.{c}").alias(c) for c in fields]))
+    inc = incoming.select(key, *[F.col(c).alias(f"__n_{c}") for c in fields], F.lit(True).alias("__incoming"))
     j = docs.withColumn("__stored", F.lit(True)).join(inc, key, "full_outer")
-    sel = []
-    for c in cols:
-        if c == key:
-            sel.append(F.col(key))
-        elif f"__n_{c}" in j.columns:
-            sel.append(F.coalesce(F.col(f"__n_{c}"), F.col(c)).alias(c))
-        else:
+    sel = [F.col(key)]
+    for c in [*docs.columns, *[c for c in fields if c not in docs.columns]]:
+        if c in fields and c in docs.columns:
+            sel.append(F.when(F.col("__incoming"), F.col(f"__n_{c}")).otherwise(F.col(c)).alias(c))
+        elif c in fields:
+            sel.append(F.col(f"__n_{c}").alias(c))
+        elif c != key:
             sel.append(F.col(c))
     action = (F.when(F.col("__stored") & F.col("__incoming"), "matched")
               .when(F.col("__incoming"), "inserted").otherwise("unchanged"))

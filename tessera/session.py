@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -74,3 +75,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="tessera-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send the package to the Python workers of a cluster, once per application.
+
+    Functions that run in tasks are pickled by reference, so the workers must
+    be able to import this package from wherever the driver was started."""
+    sc = spark.sparkContext
+    if sc.master.startswith("local") or getattr(sc, "_tessera_shipped", False):
+        return
+    home = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="tessera-zip-"), "tessera.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(home):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    f = os.path.join(folder, n)
+                    z.write(f, os.path.relpath(f, os.path.dirname(home)))
+    sc.addPyFile(path)
+    sc._tessera_shipped = True

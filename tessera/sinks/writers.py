@@ -61,8 +61,11 @@ def save_table(df: DataFrame, name: str, bucket_by: str | None = "student_id", b
 
 
 def write_source_partition(df: DataFrame, root: str, source: str) -> int:
-    """K4: per-source clean sink: ``root/source=<s>/`` (partition pruning on read)."""
-    return write_parquet(df.withColumn("source", F.lit(source)), root, partition_by=["source"])
+    """K4: per-source clean sink: ``root/source=<s>/`` (partition pruning on read).
+    Only the partition of ``source`` is replaced; an empty frame leaves it as it is."""
+    w = lambda d: (d.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                   .partitionBy("source").parquet(root))
+    return _observed_write(df.withColumn("source", F.lit(source)), w)
 
 
 def write_features(features: DataFrame, root: str, catalog: DataFrame | None = None) -> dict[str, str]:
@@ -79,7 +82,7 @@ def write_features(features: DataFrame, root: str, catalog: DataFrame | None = N
 def write_metrics(folds: DataFrame, summary: DataFrame, root: str, importance: DataFrame | None = None) -> None:
     """K6: fold metrics as CSV with 6 decimals, summary as JSON, importances as CSV."""
     num = [c for c, t in folds.dtypes if t == "double"]
-    folds.select(*[F.format_number(c, 6).alias(c) if c in num else F.col(c) for c in folds.columns]) \
+    folds.select(*[F.when(F.col(c).isNotNull(), F.format_string("%.6f", F.col(c))).alias(c) if c in num else F.col(c) for c in folds.columns]) \
         .write.mode("overwrite").option("header", True).csv(f"{root}/fold_metrics")
     summary.write.mode("overwrite").json(f"{root}/summary")
     if importance is not None:

@@ -83,3 +83,12 @@ def test_attendance_scale_detection(spark):
     assert out[("x", 95.0)] == (0.95, False) and out[("y", 0.9)] == (0.9, False)
     assert out[("z", None)] == (None, False) and out[("w", 150.0)][1] is True
     assert F is not None
+
+
+def test_ids_above_two_to_the_53_stay_apart(spark):
+    from tessera.functions.numeric import coerce_int, coerce_int_half_even
+
+    d = spark.createDataFrame([("9007199254740993",), ("9007199254740992",), ("9007199254740993.0",), ("20.7",), (" 20.0 ",), ("2e1",), ("x",), (None,)], "s string")
+    got = [tuple(r) for r in d.select(coerce_int("s"), coerce_int_half_even("s")).collect()]
+    assert got == [(9007199254740993, 9007199254740993), (9007199254740992, 9007199254740992), (9007199254740993, 9007199254740993),
+                   (None, 21), (20, 20), (20, 20), (None, None), (None, None)]

@@ -46,3 +46,10 @@ def test_upsert(spark):
                                 "student_id long, personal struct<name:string,age:bigint,city:string,country:string>")
     out = {r.student_id: r._action for r in D.upsert(docs, inc).collect()}
     assert out == {1001: "unchanged", 1003: "unchanged", 2001: "inserted"}
+
+
+def test_upsert_sets_null_adds_fields_and_takes_the_last(spark):
+    docs = spark.createDataFrame([(1, "a", 5), (2, "b", 6)], "student_id int, name string, n int")
+    inc = spark.createDataFrame([(1, "x", "e0", 1), (1, None, "e1", 2), (3, "c", "e3", 1)], "student_id int, name string, email string, seq int")
+    got = sorted(tuple(r) for r in D.upsert(docs, inc, seq="seq").collect())
+    assert got == [(1, None, 5, "e1", "matched"), (2, "b", 6, None, "unchanged"), (3, "c", None, "e3", "inserted")]

@@ -90,3 +90,22 @@ def test_sinks(spark, tmp_path):
     assert cmp.csv_bytes > 0 and cmp.parquet_bytes > 0
     st = W.storage_stats(spark, str(tmp_path / "p")).first()
     assert st.rows == 10 and st.columns == 2
+
+
+def test_a_source_partition_leaves_the_others(spark, tmp_path):
+    from tessera.sinks import writers as W
+
+    root = str(tmp_path / "clean")
+    for source, n in (("csv", 3), ("api", 2), ("csv", 4)):
+        W.write_source_partition(spark.range(n), root, source)
+    got = {r.source: r["count"] for r in spark.read.parquet(root).groupBy("source").count().collect()}
+    assert got == {"csv": 4, "api": 2}
+
+
+def test_metrics_have_six_plain_decimals(spark, tmp_path):
+    from tessera.sinks import writers as W
+
+    folds = spark.createDataFrame([(1, 1234.567), (2, None)], "fold int, mae double")
+    W.write_metrics(folds, folds, str(tmp_path))
+    got = {r.fold: r.mae for r in spark.read.option("header", True).csv(str(tmp_path / "fold_metrics")).collect()}
+    assert got == {"1": "1234.567000", "2": None}
