@@ -2,42 +2,47 @@
 
 ``Window.orderBy`` without ``partitionBy`` moves every row into one task, and
 ``Window.partitionBy(k)`` puts a hot key (say a third of all rows) in one
-task.  This module computes the same values with a distributed prefix:
-
-1. range-partition on (partition keys, order keys) and sort within buckets;
-   identical full keys land in the same bucket, while a hot partition key is
-   spread over many buckets;
-2. one Arrow-batched pass per bucket computes *local* counters (row number,
-   rank, dense rank, running sums, lag/lead inside the bucket);
-3. the result is checkpointed to the shared checkpoint dir so bucket ids are
-   stable under retries and executor loss;
-4. a tiny per-(bucket, group) table gives offsets via a window over at most
-   #buckets rows per group, and is joined back (broadcast only behind a
-   row-count check).
-
-Semantics follow SQL: ``rank``/``dense_rank``/``row_number`` over the order,
-``running_sum`` uses ROWS UNBOUNDED PRECEDING .. CURRENT ROW, ``range_sum``
-uses the default RANGE frame (peers included), ``lag``/``lead`` use offset 1.
+task.  This module computes the same values from Spark's own window functions
+over smaller groups, for inputs of every size alike:
+
+* Row numbers, running sums, lag and lead: a bounded random sample of the keys
+  (``SAMPLE_PER_BUCKET`` rows a bucket) gives boundaries in the order of
+  (partition keys, order keys), placed inside partition keys that hold more
+  than a bucket's share.  A row's bucket is a function of its keys alone, so it
+  is the same in every pass, retry or recomputation; the sample only decides
+  how even the buckets are.  Native windows run over (partition keys, bucket),
+  and one aggregate per (partition keys, bucket) of the split keys gives what
+  lies in the buckets before.  A key that no boundary splits needs no offsets.
+* Rank, dense rank and sums over the default RANGE frame: rows are counted per
+  (partition keys, peer keys) with map-side combine, the running totals are
+  taken over that table, and joined back.  Ties are never gathered.
+
+Semantics follow SQL: ``running_sum`` uses ROWS UNBOUNDED PRECEDING .. CURRENT
+ROW, ``range_sum`` the default RANGE frame (peers included), ``lag``/``lead``
+use offset 1.  Values keep Spark's own types and rules (NaN, NULL, wide
+decimals, BIGINT).  ``order_by`` should be a total order for row numbers,
+running sums, lag and lead: rows equal in all keys share a bucket.  Keys must
+be atomic and reproducible (not, say, sums of doubles in shuffle order).
 """
 
 from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from itertools import groupby
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.session import ensure_checkpoint_dir
-
 _ORDER_RE = re.compile(
     r"^\s*(?P<col>[A-Za-z_][A-Za-z0-9_]*)\s*(?P<dir>asc|desc)?\s*(nulls\s+(?P<nulls>first|last))?\s*$",
     re.I,
 )
 
+SAMPLE_PER_BUCKET = 64
+_INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
 
 @dataclass(frozen=True)
 class OrderKey:
@@ -45,12 +50,22 @@ class OrderKey:
     ascending: bool = True
     nulls_first: bool | None = None
 
-    def column(self):
+    @property
+    def null_leads(self) -> bool:
+        return self.ascending if self.nulls_first is None else self.nulls_first
+
+    def column(self) -> Column:
         c = F.col(self.col)
-        nf = self.nulls_first if self.nulls_first is not None else self.ascending
         if self.ascending:
-            return c.asc_nulls_first() if nf else c.asc_nulls_last()
-        return c.desc_nulls_first() if nf else c.desc_nulls_last()
+            return c.asc_nulls_first() if self.null_leads else c.asc_nulls_last()
+        return c.desc_nulls_first() if self.null_leads else c.desc_nulls_last()
+
+    def before(self, value) -> Column:
+        """True for rows whose key sorts strictly before ``value``."""
+        c = F.col(self.col)
+        if value is None:
+            return F.lit(False) if self.null_leads else c.isNotNull()
+        return F.coalesce(c < F.lit(value) if self.ascending else c > F.lit(value), F.lit(self.null_leads))
 
 
 def parse_order(spec) -> OrderKey:
@@ -64,128 +79,134 @@ def parse_order(spec) -> OrderKey:
     return OrderKey(m.group("col"), asc, None if nulls is None else nulls.lower() == "first")
 
 
-def _changed(frame: pd.DataFrame, cols, prev: tuple | None) -> np.ndarray:
-    """True where the tuple of ``cols`` differs from the previous row (nulls equal)."""
-    n = len(frame)
-    out = np.zeros(n, dtype=bool)
-    if not cols:
-        out[0] = prev is None
-        return out
-    for i, c in enumerate(cols):
-        s = frame[c]
-        sh = s.shift(1)
-        if prev is not None:
-            sh.iloc[0] = prev[i]
-        isna, shna = s.isna().to_numpy(), sh.isna().to_numpy()
-        neq = (s.to_numpy(dtype=object) != sh.to_numpy(dtype=object)) & ~(isna & shna)
-        neq |= isna ^ shna
-        out |= neq
-    if prev is None:
-        out[0] = True
+def _before(keys: list[OrderKey], values: tuple) -> Column:
+    """Rows that sort strictly before the key tuple ``values``."""
+    out = keys[-1].before(values[-1])
+    for k, v in zip(reversed(keys[:-1]), reversed(values[:-1])):
+        out = k.before(v) | (F.col(k.col).eqNullSafe(F.lit(v)) & out)
     return out
 
 
-def _local_pass(pcols, ocols, sums, range_sums, lags, leads, scaled, peers):
-    """Build the per-bucket mapInPandas function.
-
-    ``peers`` is the number of leading order keys that define peer groups for
-    rank / dense rank / RANGE sums (the rest only orders rows).
-    """
-    cum_src = {**sums, **range_sums}
-    tcols = ocols[:peers]
-
-    def process(chunk: pd.DataFrame, carry: dict | None, nxt: pd.Series | None):
-        chunk = chunk.reset_index(drop=True)
-        n = len(chunk)
-        prev_p = carry["p"] if carry else None
-        prev_k = carry["k"] if carry else None
-        newgrp = _changed(chunk, pcols, prev_p)
-        newtie = newgrp | _changed(chunk, tcols, prev_k[len(pcols):] if prev_k else None)
-        gid = np.cumsum(newgrp)
-        cont = carry is not None and not newgrp[0]  # first group continues from carry
-        first_seg = gid == gid[0]
-        rn = pd.Series(np.ones(n, dtype=np.int64)).groupby(gid).cumsum().to_numpy()
-        if cont:
-            rn = rn + np.where(first_seg, carry["rn"], 0)
-        rank = np.where(newtie, rn, 0).astype(np.int64)
-        # forward fill the rank of the first row of each tie group
-        idx = np.where(newtie, np.arange(n), -1)
-        idx = np.maximum.accumulate(idx)
-        rank = np.where(idx >= 0, rank[np.maximum(idx, 0)], carry["rank"] if carry else 1)
-        dense = pd.Series(newtie.astype(np.int64)).groupby(gid).cumsum().to_numpy()
-        if cont:
-            dense = dense + np.where(first_seg, carry["dense"], 0)
-        out = chunk.copy()
-        out["__sq_rn"], out["__sq_rank"], out["__sq_dense"] = rn, rank, dense
-        out["__sq_first"] = newgrp
-        cums, cnts = {}, {}
-        for name, src in cum_src.items():
-            v = chunk[src]
-            if scaled.get(src):
-                v = (v.astype("float64") * scaled[src]).round().fillna(0.0).astype(np.int64)
-            else:
-                v = v.astype("float64").fillna(0.0)
-            cs = v.groupby(gid).cumsum().to_numpy()
-            nn = pd.Series(chunk[src].notna().to_numpy().astype(np.int64)).groupby(gid).cumsum().to_numpy()
-            if cont:
-                cs = cs + np.where(first_seg, carry["cum"][name], 0)
-                nn = nn + np.where(first_seg, carry["cnt"][name], 0)
-            cums[name], cnts[name] = cs, nn
-            out[f"__sq_cum_{name}"] = cs
-            out[f"__sq_cnt_{name}"] = nn
-        tid = np.cumsum(newtie)
-        for name in range_sums:
-            out[f"__sq_cum_{name}"] = pd.Series(cums[name]).groupby(tid).transform("last").to_numpy()
-            out[f"__sq_cnt_{name}"] = pd.Series(cnts[name]).groupby(tid).transform("last").to_numpy()
-        for name, src in lags.items():
-            lag = chunk[src].groupby(gid).shift(1)
-            if cont:
-                lag.iloc[0] = carry["last"][src]
-            out[f"__sq_lag_{name}"] = lag
-        last_flag = np.zeros(n, dtype=bool)
-        for name, src in leads.items():
-            lead = chunk[src].groupby(gid).shift(-1)
-            if nxt is not None and not _changed(
-                pd.concat([chunk.iloc[[-1]][pcols], nxt[pcols].to_frame().T], ignore_index=True),
-                pcols, None)[1:].any():
-                lead.iloc[-1] = nxt[src]
-            out[f"__sq_lead_{name}"] = lead
-        if nxt is None:
-            last_flag[-1] = True
-        out["__sq_last"] = last_flag
-        new_carry = {
-            "p": tuple(chunk.iloc[-1][c] for c in pcols),
-            "k": tuple(chunk.iloc[-1][c] for c in pcols + tcols),
-            "rn": int(rn[-1]),
-            "rank": int(rank[-1]),
-            "dense": int(dense[-1]),
-            "cum": {k: v[-1] for k, v in cums.items()},
-            "cnt": {k: v[-1] for k, v in cnts.items()},
-            "last": {src: chunk.iloc[-1][src] for src in lags.values()},
-        }
-        return out, new_carry
-
-    def run(batches):
-        carry, pending = None, None
-        keys = pcols + tcols
-        for batch in batches:
-            if len(batch) == 0:
-                continue
-            frame = batch if pending is None else pd.concat([pending, batch], ignore_index=True)
-            if range_sums:
-                starts = np.flatnonzero(_changed(frame, keys, None))
-                cut = int(starts[-1])
-            else:
-                cut = len(frame) - 1
-            ready, pending = frame.iloc[:cut], frame.iloc[cut:].reset_index(drop=True)
-            if len(ready):
-                out, carry = process(ready, carry, pending.iloc[0])
-                yield out
-        if pending is not None and len(pending):
-            out, carry = process(pending, carry, None)
-            yield out
-
-    return run
+def _bucket(keys: list[OrderKey], bounds: list[tuple], lo: int = 0, hi: int | None = None) -> Column:
+    """Number of ``bounds`` at or before the row, as a balanced decision tree."""
+    hi = len(bounds) if hi is None else hi
+    if lo == hi:
+        return F.lit(lo)
+    mid = (lo + hi) // 2
+    return F.when(_before(keys, bounds[mid]), _bucket(keys, bounds, lo, mid)).otherwise(
+        _bucket(keys, bounds, mid + 1, hi))
+
+
+def _boundaries(df: DataFrame, keys: list[OrderKey], n_part: int, n: int) -> tuple[list[tuple], list[tuple]]:
+    """Boundaries and the partition keys that they split, from a random sample
+    of at most ``n * SAMPLE_PER_BUCKET`` key tuples."""
+    sample = df.select(*[k.col for k in keys]).orderBy(F.rand(17)).limit(n * SAMPLE_PER_BUCKET)
+    rows = [tuple(bytes(v) if isinstance(v, bytearray) else v for v in r) for r in sample.orderBy(*[k.column() for k in keys]).collect()]
+    step = max(1, len(rows) // n)
+    bounds, split = [], []
+    for part, run in groupby(rows, key=lambda r: r[:n_part]):
+        cuts = list(dict.fromkeys(list(run)[step::step]))
+        if cuts:
+            bounds += cuts
+            split.append(part)
+    return bounds, split
+
+
+def _sum_type(dt: T.DataType) -> T.DataType:
+    if isinstance(dt, T.DecimalType):
+        return T.DecimalType(min(38, dt.precision + 10), dt.scale)
+    return T.LongType() if isinstance(dt, _INTEGERS) else T.DoubleType()
+
+
+def _plus(local: Column, before: Column) -> Column:
+    """Sum of two totals, NULL where both are."""
+    return F.coalesce(local + before, local, before)
+
+
+def _same(left: DataFrame, right: DataFrame, names: dict[str, str]) -> list[Column]:
+    return [left[a].eqNullSafe(right[b]) for a, b in names.items()]
+
+
+def _rows(df: DataFrame, keys: list[OrderKey], pcols: list[str], n: int, row_number: str | None,
+          sums: dict[str, str], lags: dict[str, str], leads: dict[str, str]) -> DataFrame:
+    """Row numbers, ROWS sums, lag and lead over buckets."""
+    full = [OrderKey(c) for c in pcols] + keys
+    bounds, split = _boundaries(df, full, len(pcols), n)
+    types = {name: _sum_type(df.schema[src].dataType) for name, src in sums.items()}
+    if not bounds:  # no key holds more than a bucket's share
+        keyed, group = df, pcols
+    else:
+        keyed, group = df.withColumn("__sq_bucket", _bucket(full, bounds)), [*pcols, "__sq_bucket"]
+    w = Window.partitionBy(*group).orderBy(*[k.column() for k in keys])
+    so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cols = {"__sq_rn": F.row_number().over(w).cast("long")}
+    if leads and bounds:
+        cols["__sq_end"] = F.lead(F.lit(1)).over(w).isNull()
+    cols |= {f"__sq_s_{name}": F.sum(src).over(so_far) for name, src in sums.items()}
+    cols |= {f"__sq_g_{name}": F.lag(src).over(w) for name, src in lags.items()}
+    cols |= {f"__sq_d_{name}": F.lead(src).over(w) for name, src in leads.items()}
+    local = keyed.withColumns(cols)
+    if not bounds:
+        return local.select(
+            *df.columns,
+            *([F.col("__sq_rn").alias(row_number)] if row_number else []),
+            *[F.col(f"__sq_s_{name}").cast(types[name]).alias(name) for name in sums],
+            *[F.col(f"__sq_g_{name}").alias(name) for name in lags],
+            *[F.col(f"__sq_d_{name}").alias(name) for name in leads],
+        )
+
+    totals = [F.count(F.lit(1)).alias("n_rows"), *[F.sum(src).alias(f"s_{name}") for name, src in sums.items()]]
+    # the edge values need positions; plain totals combine before their shuffle
+    edges = [F.max_by(F.col(src), F.col("__sq_rn")).alias(f"g_{name}") for name, src in lags.items()]
+    edges += [F.min_by(F.col(src), F.col("__sq_rn")).alias(f"d_{name}") for name, src in leads.items()]
+    source = local if edges else keyed
+    if pcols:
+        schema = T.StructType([T.StructField(f"__sq_h_{c}", df.schema[c].dataType) for c in pcols])
+        hot = df.sparkSession.createDataFrame(split, schema)
+        source = source.join(F.broadcast(hot), _same(source, hot, {c: f"__sq_h_{c}" for c in pcols}), "left_semi")
+    stats = source.groupBy(*group).agg(*totals, *edges)
+    wb = Window.partitionBy(*pcols).orderBy("__sq_bucket")
+    earlier = wb.rowsBetween(Window.unboundedPreceding, -1)
+    # one row per bucket of a split key: at most the number of boundaries and split keys
+    offsets = F.broadcast(stats.select(
+        *[F.col(c).alias(f"__sq_o_{c}") for c in group],
+        F.coalesce(F.sum("n_rows").over(earlier), F.lit(0)).alias("__sq_before"),
+        *[F.sum(f"s_{name}").over(earlier).alias(f"__sq_os_{name}") for name in sums],
+        *[F.lag(f"g_{name}").over(wb).alias(f"__sq_og_{name}") for name in lags],
+        *[F.lead(f"d_{name}").over(wb).alias(f"__sq_od_{name}") for name in leads],
+    ))
+    joined = local.join(offsets, _same(local, offsets, {c: f"__sq_o_{c}" for c in group}), "left")
+    outs = []
+    if row_number:
+        outs.append((F.col("__sq_rn") + F.coalesce("__sq_before", F.lit(0))).alias(row_number))
+    outs += [_plus(F.col(f"__sq_s_{name}"), F.col(f"__sq_os_{name}")).cast(types[name]).alias(name) for name in sums]
+    outs += [F.when(F.col("__sq_rn") == 1, F.col(f"__sq_og_{name}")).otherwise(F.col(f"__sq_g_{name}")).alias(name)
+             for name in lags]
+    outs += [F.when(F.col("__sq_end"), F.col(f"__sq_od_{name}")).otherwise(F.col(f"__sq_d_{name}")).alias(name)
+             for name in leads]
+    return joined.select(*[local[c] for c in df.columns], *outs)
+
+
+def _peers(df: DataFrame, keys: list[OrderKey], pcols: list[str], n: int, rank: str | None,
+           dense_rank: str | None, sums: dict[str, str]) -> DataFrame:
+    """Rank, dense rank and RANGE sums from one row per peer group."""
+    group = list(dict.fromkeys([*pcols, *[k.col for k in keys]]))
+    hist = df.groupBy(*group).agg(
+        F.count(F.lit(1)).alias("__sq_c"), *[F.sum(src).alias(f"__sq_t_{name}") for name, src in sums.items()])
+    run = {f"__sq_r_{name}": f"__sq_t_{name}" for name in sums}
+    if rank:
+        run["__sq_upto"] = "__sq_c"
+    table = _rows(hist, keys, pcols, n, "__sq_dense" if dense_rank else None, run, {}, {})
+    outs = []
+    if rank:
+        outs.append((F.col("__sq_upto") - F.col("__sq_c") + 1).alias(rank))
+    if dense_rank:
+        outs.append(F.col("__sq_dense").alias(dense_rank))
+    outs += [F.col(f"__sq_r_{name}").cast(_sum_type(df.schema[src].dataType)).alias(name) for name, src in sums.items()]
+    values = table.select(*[F.col(c).alias(f"__sq_k_{c}") for c in group], *outs)
+    names = [c for c in (rank, dense_rank, *sums) if c]
+    joined = df.join(values, _same(df, values, {c: f"__sq_k_{c}" for c in group}), "inner")
+    return joined.select(*[df[c] for c in df.columns], *names)
 
 
 def sequence(
@@ -202,194 +223,25 @@ def sequence(
     lead: dict[str, str] | None = None,
     buckets: int | None = None,
     peers: int | None = None,
-    method: str = "auto",
 ) -> DataFrame:
     """Append ordered-analytic columns computed without a single-task window.
 
     ``peers``: how many leading ``order_by`` keys define ties for rank,
-    dense rank and ``range_sum`` (default: all of them).
-
-    ``method``: ``'distributed'`` always uses the range-bucketed engine;
-    ``'native'`` uses Spark window functions; ``'auto'`` (default) uses the
-    native windows only when the optimizer's size estimate of the input --
-    computed without running a job, and an over-estimate for joins and
-    filters -- is at most ``SMALL_INPUT_BYTES``, so a single window task is
-    proven small; anything larger goes to the distributed engine.
+    dense rank and ``range_sum`` (default: all of them).  ``buckets`` defaults
+    to ``spark.sql.shuffle.partitions``.
     """
-    if method == "native" or (method == "auto" and _is_small(df)):
-        return _native(df, order_by, partition_by, row_number, rank, dense_rank, running_sum, range_sum,
-                       lag, lead, peers)
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     keys = [parse_order(o) for o in order_by]
     pcols = list(partition_by)
-    ocols = [k.col for k in keys]
-    sums, rsums = dict(running_sum or {}), dict(range_sum or {})
-    lags, leads = dict(lag or {}), dict(lead or {})
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-    schema = df.schema
-    scaled, sum_types = {}, {}
-    for src in {**sums, **rsums}.values():
-        dt = schema[src].dataType
-        if isinstance(dt, T.DecimalType):
-            scaled[src] = 10 ** dt.scale
-            sum_types[src] = dt
-        elif isinstance(dt, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)):
-            scaled[src] = 1
-            sum_types[src] = T.LongType()
-        else:
-            sum_types[src] = T.DoubleType()
-
-    npeers = len(ocols) if peers is None else peers
-    # complex pass-through columns (struct/array/map) cross the Arrow boundary
-    # as JSON text and are restored with their exact type afterwards
-    packed = {f.name: f.dataType for f in schema.fields
-              if isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType))
-              and f.name not in pcols + ocols + list({**sums, **rsums, **lags, **leads}.values())}
-    if packed:
-        df = df.withColumns({c: F.to_json(F.col(c)) for c in packed})
-    sort_cols = [F.col(c).asc_nulls_first() for c in pcols] + [k.column() for k in keys]
-    # range keys stop at the peer keys so a peer group never spans two buckets
-    range_cols = sort_cols[: len(pcols) + npeers] or sort_cols
-    bucketed = (
-        df.repartitionByRange(n, *range_cols)
-        .sortWithinPartitions(*sort_cols)
-        .withColumn("__sq_bucket", F.spark_partition_id())
-    )
-    extra = [
-        T.StructField("__sq_rn", T.LongType()),
-        T.StructField("__sq_rank", T.LongType()),
-        T.StructField("__sq_dense", T.LongType()),
-        T.StructField("__sq_first", T.BooleanType()),
-    ]
-    for name, src in {**sums, **rsums}.items():
-        extra.append(T.StructField(f"__sq_cum_{name}", T.LongType() if src in scaled else T.DoubleType()))
-        extra.append(T.StructField(f"__sq_cnt_{name}", T.LongType()))
-    for name, src in lags.items():
-        extra.append(T.StructField(f"__sq_lag_{name}", schema[src].dataType))
-    for name, src in leads.items():
-        extra.append(T.StructField(f"__sq_lead_{name}", schema[src].dataType))
-    extra.append(T.StructField("__sq_last", T.BooleanType()))
-    out_schema = T.StructType(bucketed.schema.fields + extra)
-    local = bucketed.mapInPandas(
-        _local_pass(pcols, ocols, sums, rsums, lags, leads, scaled, npeers), out_schema
-    ).checkpoint(eager=True)
-
-    # per (bucket, group) summary: at most #groups + #buckets rows
-    aggs = [
-        F.max("__sq_rn").alias("n_rows"),
-        F.max("__sq_dense").alias("n_dense"),
-    ]
-    for name in {**sums, **rsums}:
-        aggs.append(F.max_by(F.col(f"__sq_cum_{name}"), F.col("__sq_rn")).alias(f"tot_{name}"))
-        aggs.append(F.max_by(F.col(f"__sq_cnt_{name}"), F.col("__sq_rn")).alias(f"totn_{name}"))
-    for name, src in lags.items():
-        aggs.append(F.max_by(F.col(src), F.col("__sq_rn")).alias(f"lastv_{name}"))
-    for name, src in leads.items():
-        aggs.append(F.min_by(F.col(src), F.col("__sq_rn")).alias(f"firstv_{name}"))
-    stats = local.groupBy("__sq_bucket", *pcols).agg(*aggs)
-    w = Window.partitionBy(*pcols).orderBy("__sq_bucket")
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    offs = [
-        F.coalesce(F.sum("n_rows").over(before), F.lit(0)).alias("off_rows"),
-        F.coalesce(F.sum("n_dense").over(before), F.lit(0)).alias("off_dense"),
-    ]
-    for name in {**sums, **rsums}:
-        offs.append(F.coalesce(F.sum(f"tot_{name}").over(before), F.lit(0)).alias(f"off_{name}"))
-        offs.append(F.coalesce(F.sum(f"totn_{name}").over(before), F.lit(0)).alias(f"offn_{name}"))
-    for name in lags:
-        offs.append(F.lag(f"lastv_{name}").over(w).alias(f"prev_{name}"))
-    for name in leads:
-        offs.append(F.lead(f"firstv_{name}").over(w).alias(f"next_{name}"))
-    offsets = stats.select("__sq_bucket", *pcols, *offs).withColumnsRenamed(
-        {c: f"__sq_o_{c}" for c in pcols}
-    )
-    if not pcols:
-        # one row per bucket: bounded by the bucket count, safe to broadcast
-        offsets = F.broadcast(offsets)
-    # otherwise at most #groups + #buckets rows; Spark's size estimate and
-    # AQE's runtime statistics choose broadcast or a shuffle join
-    cond = [local["__sq_bucket"] == offsets["__sq_bucket"]] + [
-        local[c].eqNullSafe(offsets[f"__sq_o_{c}"]) for c in pcols
-    ]
-    joined = local.join(offsets, cond, "inner")
-
-    outs = []
-    if row_number:
-        outs.append((F.col("__sq_rn") + F.col("off_rows")).alias(row_number))
-    if rank:
-        outs.append((F.col("__sq_rank") + F.col("off_rows")).alias(rank))
-    if dense_rank:
-        outs.append((F.col("__sq_dense") + F.col("off_dense")).alias(dense_rank))
-    for name, src in {**sums, **rsums}.items():
-        total = F.col(f"__sq_cum_{name}") + F.col(f"off_{name}")
-        dt = sum_types[src]
-        if isinstance(dt, T.DecimalType):
-            total = (total.cast(T.DecimalType(38, 0)) / F.lit(scaled[src])).cast(
-                T.DecimalType(min(38, dt.precision + 10), dt.scale)
-            )
-        seen = F.col(f"__sq_cnt_{name}") + F.col(f"offn_{name}")
-        outs.append(F.when(seen > 0, total).alias(name))
-    for name in lags:
-        outs.append(F.when(F.col("__sq_first"), F.col(f"prev_{name}")).otherwise(F.col(f"__sq_lag_{name}")).alias(name))
-    for name in leads:
-        outs.append(F.when(F.col("__sq_last"), F.col(f"next_{name}")).otherwise(F.col(f"__sq_lead_{name}")).alias(name))
-    kept = [F.from_json(local[c], packed[c]).alias(c) if c in packed else local[c] for c in df.columns]
-    return joined.select(*kept, *outs)
-
-
-SMALL_INPUT_BYTES = 32 * 1024 * 1024
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Optimizer size estimate of a plan (no job is run)."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001
-        return None
-
-
-def _is_small(df: DataFrame) -> bool:
-    est = estimated_bytes(df)
-    return est is not None and est <= SMALL_INPUT_BYTES
-
-
-def _native(df, order_by, partition_by, row_number, rank, dense_rank, running_sum, range_sum, lag, lead, peers):
-    """The same outputs with Spark window functions (small inputs only)."""
-    keys = [parse_order(o) for o in order_by]
-    pcols = list(partition_by)
-    npeers = len(keys) if peers is None else peers
-    w = Window.partitionBy(*pcols).orderBy(*[k.column() for k in keys])
-    wp = Window.partitionBy(*pcols).orderBy(*[k.column() for k in keys[:npeers]]) if npeers else \
-        Window.partitionBy(*pcols).orderBy(F.lit(1))
-    schema = df.schema
-    cols = {}
-    if row_number:
-        cols[row_number] = F.row_number().over(w).cast("long")
-    if rank:
-        cols[rank] = F.rank().over(wp).cast("long")
-    if dense_rank:
-        cols[dense_rank] = F.dense_rank().over(wp).cast("long")
-
-    def sum_type(src):
-        dt = schema[src].dataType
-        if isinstance(dt, T.DecimalType):
-            return T.DecimalType(min(38, dt.precision + 10), dt.scale)
-        if isinstance(dt, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)):
-            return T.LongType()
-        return T.DoubleType()
-
-    for name, src in (running_sum or {}).items():
-        cols[name] = F.sum(src).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).cast(sum_type(src))
-    for name, src in (range_sum or {}).items():
-        cols[name] = F.sum(src).over(wp.rangeBetween(Window.unboundedPreceding, Window.currentRow)).cast(
-            sum_type(src))
-    for name, src in (lag or {}).items():
-        cols[name] = F.lag(src).over(w)
-    for name, src in (lead or {}).items():
-        cols[name] = F.lead(src).over(w)
-    return df.withColumns(cols)
+    n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    out = df
+    if row_number or running_sum or lag or lead:
+        out = _rows(out, keys, pcols, n, row_number, dict(running_sum or {}), dict(lag or {}), dict(lead or {}))
+    if rank or dense_rank or range_sum:
+        tie_keys = keys if peers is None else keys[:peers]
+        out = _peers(out, tie_keys, pcols, n, rank, dense_rank, dict(range_sum or {}))
+    asked = [c for c in (row_number, rank, dense_rank, *(running_sum or {}), *(range_sum or {}), *(lag or {}),
+                         *(lead or {})) if c]
+    return out.select(*df.columns, *asked)
 
 
 def row_index(df: DataFrame, order_by, name: str = "row_idx", start: int = 0) -> DataFrame:
