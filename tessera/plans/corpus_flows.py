@@ -48,7 +48,7 @@ SOURCES_SQL = f"""{TYPED_CTE},
                  regexp_replace({_cell('name')}, '\\s+', ' ', 'g') AS name, {_trunc(_cell('age'))} AS age,
                  {_dbl(_cell('gpa'))} AS gpa, {_dbl(_cell('attendance'))} AS attendance,
                  {_title(_cell('city'))} AS city
-          FROM bronze_students WHERE ingest_ord % 4 = 0 AND (ingest_ord / 4) % 31 <> 0),
+          FROM bronze_students WHERE (ingest_ord // 4) % 31 <> 0),
   scr_src AS (SELECT student_id, name, {_ranged()}, city, o FROM scr WHERE student_id IS NOT NULL {_KEEP_FIRST}),
   mongo_src AS (SELECT student_id, personal.name AS name,
                        {_ranged('personal.age', 'academic.gpa', 'academic.attendance')},
@@ -110,7 +110,14 @@ FROM ({_COVERAGE}) cov"""
 
 
 @register("P3_run_all_sources",
-          f"WITH {SOURCES_SQL} SELECT source, 'OK' AS status, COUNT(*) AS rows FROM src GROUP BY source")
+          f"""WITH {SOURCES_SQL},
+  ins AS (SELECT 'csv' AS source, student_id FROM typed UNION ALL SELECT 'api', c_custkey FROM customer
+          UNION ALL SELECT 'scraper', student_id FROM scr UNION ALL SELECT 'mongodb', student_id FROM student_docs
+          UNION ALL SELECT 'sqlite', student_id FROM students),
+  n_in AS (SELECT source, COUNT(*) AS rows_in, COUNT(*) FILTER (WHERE student_id IS NULL) AS rows_invalid
+           FROM ins GROUP BY source)
+SELECT source, 'OK' AS status, ANY_VALUE(rows_in) AS rows_in, ANY_VALUE(rows_invalid) AS rows_invalid,
+       COUNT(*) AS rows FROM src JOIN n_in USING (source) GROUP BY source""")
 def p3_run_all_sources(dom):
     status, _ = FL.run_all(dom)
     return status.drop("error")
@@ -188,7 +195,7 @@ Q3_SQL = f"""WITH {TYPED_CTE},
               QUALIFY ROW_NUMBER() OVER (PARTITION BY student_id ORDER BY ingest_ord) = 1),
   scr AS (SELECT ingest_ord, {_trunc(_cell('student_id'))} AS student_id, {_trunc(_cell('age'))} AS age,
                  {_dbl(_cell('gpa'))} AS gpa, {_dbl(_cell('attendance'))} AS attendance
-          FROM bronze_students WHERE ingest_ord % 4 = 0 AND (ingest_ord / 4) % 31 <> 0),
+          FROM bronze_students WHERE (ingest_ord // 4) % 31 <> 0),
   scr_src AS (SELECT * FROM scr WHERE student_id IS NOT NULL
               QUALIFY ROW_NUMBER() OVER (PARTITION BY student_id ORDER BY ingest_ord) = 1),
   api_src AS (SELECT c_custkey AS student_id, 17 + c_custkey % 45 AS age FROM customer)
@@ -213,6 +220,6 @@ def q3_source_validation(dom):
 
     out = None
     for name in FL.SOURCES:
-        r = validate_source(name, FL.RECIPES[name](dom))
+        r = validate_source(name, FL.recipe(dom, name))
         out = r if out is None else out.unionByName(r)
     return out

@@ -58,7 +58,7 @@ def _cell(x):
                      regexp_replace({_cell('name')}, '\\s+', ' ', 'g') AS name,
                      {_trunc(_cell('age'))} AS age, {_dbl(_cell('gpa'))} AS gpa,
                      {_dbl(_cell('attendance'))} AS attendance, {_title(_cell('city'))} AS city
-              FROM bronze_students WHERE ingest_ord % 4 = 0 AND (ingest_ord / 4) % 31 <> 0""")
+              FROM bronze_students WHERE (ingest_ord // 4) % 31 <> 0""")
 def s7_table_rows(dom):
     pages = dom.spark.read.parquet(L.student_pages(dom.spark, dom.dir))
     rows = R.require_rows(R.parse_table_rows(pages, "students"), "students table")
@@ -121,7 +121,7 @@ def _uci_sql(course: str) -> str:
     return f"""SELECT {cols}, '{course}' AS course, {k} AS k
       FROM (SELECT o_custkey, COUNT(*) AS n, AVG(o_totalprice) AS avgp,
                    COUNT(*) FILTER (WHERE o_orderstatus = 'F') AS nf
-            FROM orders WHERE o_orderpriority = '{U.COURSE_PRIORITY[course]}' GROUP BY o_custkey) p
+            FROM orders WHERE o_orderpriority IN ({', '.join(map(repr, U.COURSE_PRIORITIES[course]))}) GROUP BY o_custkey) p
       JOIN customer c ON p.o_custkey = c.c_custkey"""
 
 

@@ -20,7 +20,7 @@ from tessera.plans.corpus_gold import FACT_SQL, FEATURES_SQL, _fact, _features
 from tessera.plans.corpus_ml import AS_OF
 from tessera.plans.corpus_silver import CLEAN_CTES, TYPED_CTE, _clean
 from tessera.plans.corpus_sources import UCI_ETL_SQL, _courses
-from tessera.plans.flows import csv_source, sqlite_source
+from tessera.plans.flows import recipe
 from tessera.plans.registry import register
 from tessera.sources import uci as U
 from tessera.sources.bronze import bronze_students
@@ -58,7 +58,7 @@ def c11_student_age(dom):
               SELECT student_id, name, CASE WHEN age BETWEEN 16 AND 80 THEN age END AS age,
                      CAST(NULL AS DOUBLE) AS gpa, CAST(NULL AS DOUBLE) AS attendance, city FROM r""")
 def s4_relational_source(dom):
-    return C.standardize(sqlite_source(dom))
+    return C.standardize(recipe(dom, "sqlite"))
 
 
 # ---------------------------------------------------------------- C18 (UCI sex labels)
@@ -246,7 +246,7 @@ def e12_window_engine_parity(dom):
               QUALIFY ROW_NUMBER() OVER (PARTITION BY student_id ORDER BY ingest_ord) = 1""")
 def c9_csv_source_fill(dom):
     """The CSV recipe fills medians over the whole source *before* keep-first."""
-    return csv_source(dom).select("student_id", "name", "age", "gpa", "attendance", "city")
+    return recipe(dom, "csv").select("student_id", "name", "age", "gpa", "attendance", "city")
 
 
 # ---------------------------------------------------------------- E10

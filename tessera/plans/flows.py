@@ -30,41 +30,34 @@ SOURCES = ("csv", "api", "scraper", "mongodb", "sqlite")
 
 
 # ---------------------------------------------------------------- P2: per-source recipes
+# Each recipe gives a source's standard rows; ``recipe`` keeps the first row of each id.
 def csv_source(dom) -> DataFrame:
-    """CSV: lower headers, strict coercion, outliers, median fill (C9), then keep-first."""
+    """CSV: lower headers, strict coercion, outliers, median fill."""
     df = R.normalize_headers(R.read_csv(dom.spark, L.students_csv(dom.spark, dom.dir), all_strings=True))
     df = C.convert_types(df).transform(C.null_outliers)
-    df = C.fill_missing(df, drop_null_name=False, fill_city=False)
-    return C.keep_first(_quarantine_null_ids(df))
-
-
-def _quarantine_null_ids(df: DataFrame) -> DataFrame:
-    """Q3/Q16: a record without an id cannot enter silver; it is held back
-    (the rest of the source still flows) instead of failing the source."""
-    return df.where(F.col("student_id").isNotNull())
+    return C.fill_missing(df, drop_null_name=False, fill_city=False)
 
 
 def api_source(dom) -> DataFrame:
-    """API: landed pages -> users -> standard record, keep-first by id."""
+    """API: landed pages -> users -> standard record."""
     users = R.read_api_pages(dom.spark, L.api_pages(dom.spark, dom.dir))
-    return C.keep_first(C.api_user_mapping(users).withColumn("ingest_ord", F.col("student_id")))
+    return C.api_user_mapping(users).withColumn("ingest_ord", F.col("student_id"))
 
 
 def scraper_source(dom) -> DataFrame:
-    """Scraper: HTML table rows (already typed), outliers, keep-first."""
+    """Scraper: HTML table rows (already typed), outliers."""
     pages = dom.spark.read.parquet(L.student_pages(dom.spark, dom.dir))
-    rows = R.require_rows(R.parse_table_rows(pages), "students table").transform(C.null_outliers)
-    return C.keep_first(_quarantine_null_ids(rows))
+    return R.require_rows(R.parse_table_rows(pages), "students table").transform(C.null_outliers)
 
 
 def mongodb_source(dom) -> DataFrame:
-    """Document collection: flatten, rename nested paths (C13), coerce, outliers, keep-first."""
+    """Document collection: flatten, rename nested paths (C13), coerce, outliers."""
     flat = D.flatten(student_documents(dom.spark, dom.dir))
     std = C.rename_columns(flat, {"personal.name": "name", "personal.age": "age", "personal.city": "city",
                                   "academic.gpa": "gpa", "academic.attendance": "attendance"})
     std = C.convert_types(std.select("student_id", "name", "age", "gpa", "attendance", "city")).transform(
         C.null_outliers)
-    return C.keep_first(std.withColumn("ingest_ord", F.col("student_id")))
+    return std.withColumn("ingest_ord", F.col("student_id"))
 
 
 def sqlite_source(dom) -> DataFrame:
@@ -74,42 +67,63 @@ def sqlite_source(dom) -> DataFrame:
         "student_id", "name", C.age_from_dob(F.col("date_of_birth"), AS_OF).alias("age"),
         F.lit(None).cast("double").alias("gpa"), F.lit(None).cast("double").alias("attendance"), "city")
     std = C.convert_types(std, int_rounding="half_even").transform(C.null_outliers)
-    return C.keep_first(std.withColumn("ingest_ord", F.col("student_id")))
+    return std.withColumn("ingest_ord", F.col("student_id"))
 
 
 RECIPES = {"csv": csv_source, "api": api_source, "scraper": scraper_source, "mongodb": mongodb_source,
            "sqlite": sqlite_source}
 
 
+def recipe(dom, name: str) -> DataFrame:
+    """The rows of a source that can enter silver: first of each id."""
+    return C.keep_first(RECIPES[name](dom).where(F.col("student_id").isNotNull()))
+
+
 @dataclass
 class SourceResult:
     source: str
     status: str
+    rows_in: int = 0
+    rows_invalid: int = 0
     rows: int = 0
     error: str | None = None
     frame: DataFrame | None = field(default=None, repr=False)
 
 
 def run_source(dom, name: str) -> SourceResult:
-    """Extract -> transform -> validate; errors are captured in the result."""
+    """Extract -> transform -> split -> keep-first; errors are captured in the result.
+
+    Rows without an id can't enter silver: they are written to
+    ``invalid_path`` and counted, and the rest of the source flows on."""
     try:
-        # materialised once in the shared checkpoint dir: the status count,
+        # materialised once in the shared checkpoint dir: the status counts,
         # validation and the merge then read it instead of re-running the recipe
         ensure_checkpoint_dir(dom.spark)
-        df = RECIPES[name](dom).checkpoint(eager=True)
-        n = df.count()
-        if n == 0:
+        std = RECIPES[name](dom).checkpoint(eager=True)
+        named = F.col("student_id").isNotNull()
+        n = std.agg(F.count(F.lit(1)).alias("rows_in"), F.count_if(~named).alias("invalid")).first()
+        if n["invalid"]:
+            W.write_parquet(std.where(~named), invalid_path(dom, name))
+        df = C.keep_first(std.where(named)).checkpoint(eager=True)
+        kept = df.count()
+        if kept == 0:
             raise ValueError("no rows")
-        return SourceResult(name, "OK", n, None, df)
+        return SourceResult(name, "OK", n["rows_in"], n["invalid"], kept, None, df)
     except Exception as e:  # noqa: BLE001  (the contract is to report, not raise)
-        return SourceResult(name, "FAILED", 0, f"{type(e).__name__}: {e}"[:500])
+        return SourceResult(name, "FAILED", error=f"{type(e).__name__}: {e}")
+
+
+def invalid_path(dom, name: str) -> str:
+    """Where a source's rows without an id are written."""
+    return f"{L.landing_root(dom.spark, dom.dir)}/invalid/{name}"
 
 
 def run_all(dom, sources=SOURCES) -> tuple[DataFrame, dict[str, DataFrame]]:
     """Every source in isolation; a status table and the good frames."""
     results = [run_source(dom, s) for s in sources]
-    status = dom.spark.createDataFrame([(r.source, r.status, r.rows, r.error) for r in results],
-                                       "source string, status string, rows long, error string")
+    status = dom.spark.createDataFrame(
+        [(r.source, r.status, r.rows_in, r.rows_invalid, r.rows, r.error) for r in results],
+        "source string, status string, rows_in long, rows_invalid long, rows long, error string")
     return status, {r.source: r.frame for r in results if r.frame is not None}
 
 

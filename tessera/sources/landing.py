@@ -5,13 +5,12 @@ semicolon-separated course files.  Here Spark *writes* those files from the
 driver tables (distributed writes, one file per task) into the shared
 checkpoint folder, so the readers in ``sources.readers`` are exercised on
 real files whose size grows with the tables.  Each landing is written once
-per session and data directory.
+per state of the data directory (paths, sizes and times of its files).
 """
 
 from __future__ import annotations
 
 import hashlib
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,19 +24,25 @@ from tessera.sources.tables import _path_exists, read_table
 CSV_HEADER = {"student_id": " Student_ID ", "name": "Name", "age": "AGE", "gpa": "GPA",
               "attendance": "Attendance ", "city": "City"}
 
-_written: set[str] = set()
+
+def _state(spark: SparkSession, sf_dir: str) -> str:
+    """Digest of the input files' paths, sizes and times; contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option(
+        "pathGlobFilter", "*.parquet").load(sf_dir)
+    row = files.agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("size"),
+                    F.bit_xor(F.xxhash64("path", "length", "modificationTime")).alias("mix")).first()
+    return f"{sf_dir}|{row['n']}|{row['size']}|{row['mix']}"
 
 
 def landing_root(spark: SparkSession, sf_dir: str) -> str:
     base = ensure_checkpoint_dir(spark)
-    tag = hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:10]
+    tag = hashlib.sha1(_state(spark, sf_dir).encode()).hexdigest()[:16]
     return f"{base.rstrip('/')}/landing/{tag}"
 
 
 def _once(spark: SparkSession, path: str, build) -> str:
-    if path not in _written and not _path_exists(spark, f"{path}/_SUCCESS"):
+    if not _path_exists(spark, f"{path}/_SUCCESS"):
         build(path)
-    _written.add(path)
     return path
 
 
@@ -89,9 +94,10 @@ def api_pages(spark: SparkSession, sf_dir: str) -> str:
 
 # ---------------------------------------------------------------- S7: HTML table pages
 def student_pages_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bronze records rendered as HTML table pages of 10 rows; every 31st
-    customer's row has only 5 cells (to be skipped by the parser)."""
-    b = bronze_students(spark, sf_dir).where(F.col("ingest_ord") % 4 == 0)  # one row per customer (copy 0)
+    """Bronze records, repeated ones included, rendered as HTML table pages of
+    10 customers; every 31st customer's rows have only 5 cells (to be skipped
+    by the parser)."""
+    b = bronze_students(spark, sf_dir)
     k = (F.col("ingest_ord") / 4).cast("long")
 
     def td(c):
@@ -100,8 +106,8 @@ def student_pages_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = [td(c) for c in ("student_id", "name", "age", "gpa", "attendance", "city")]
     row = F.concat(F.lit("<tr>"), F.array_join(
         F.when(k % 31 == 0, F.array(*cells[:5])).otherwise(F.array(*cells)), ""), F.lit("</tr>"))
-    rows = b.select((k / 10).cast("long").alias("page_id"), k.alias("k"), row.alias("tr"))
-    pages = rows.groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct("k", "tr"))).alias("l"))
+    rows = b.select((k / 10).cast("long").alias("page_id"), k.alias("k"), row.alias("tr"), "ingest_ord")
+    pages = rows.groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct("ingest_ord", "tr"))).alias("l"))
     head = ('<html><body><h1>Students</h1><table id="students"><thead><tr><th>ID</th><th>Name</th>'
             "<th>Age</th><th>GPA</th><th>Attendance</th><th>City</th></tr></thead><tbody>")
     return pages.select("page_id", F.concat(F.lit("https://uni.example/students?page="), F.col("page_id").cast(

@@ -1,8 +1,8 @@
 """UCI-style course files (S8) and the course ETL (P5 steps C10, C18, C19, Q4).
 
-Course files are derived from the driver tables: a customer is enrolled in
-the 'mat' course when it placed an urgent order and in 'por' when it placed a
-high-priority order, so many students appear in both files; the 33
+Course files are derived from the driver tables: every order
+belongs to one course by its priority, and a customer is enrolled in the
+courses of its orders, so many students appear in both files; the 33
 attributes are functions of the customer and its orders in that course.  The
 13 identity attributes are coarse, so distinct customers can collide, as
 real survey records do.
@@ -26,7 +26,7 @@ INT_COLUMNS = ["age", "Medu", "Fedu", "traveltime", "studytime", "failures", "fa
                "Dalc", "Walc", "health", "absences", "G1", "G2", "G3"]
 MERGE_KEYS = ["school", "sex", "age", "address", "famsize", "Pstatus", "Medu", "Fedu", "Mjob", "Fjob", "reason",
               "nursery", "internet"]
-COURSE_PRIORITY = {"mat": "1-URGENT", "por": "2-HIGH"}
+COURSE_PRIORITIES = {"mat": ("1-URGENT", "3-MEDIUM", "5-LOW"), "por": ("2-HIGH", "4-NOT SPECIFIED")}
 JOBS = ["teacher", "health", "services", "at_home", "other"]
 REASONS = ["home", "reputation", "course", "other"]
 SEX_LABELS = {"M": "Male", "F": "Female"}
@@ -39,7 +39,7 @@ def _pick(values, idx):
 
 def uci_course_frame(spark: SparkSession, d: str, course: str) -> DataFrame:
     o = read_table(spark, d, "orders").select("o_custkey", "o_orderpriority", "o_totalprice", "o_orderstatus")
-    per = o.where(F.col("o_orderpriority") == COURSE_PRIORITY[course]).groupBy("o_custkey").agg(
+    per = o.where(F.col("o_orderpriority").isin(*COURSE_PRIORITIES[course])).groupBy("o_custkey").agg(
         F.count(F.lit(1)).alias("n"), F.avg("o_totalprice").alias("avgp"),
         F.count_if(F.col("o_orderstatus") == "F").alias("nf"))
     c = read_table(spark, d, "customer").select("c_custkey", "c_nationkey", "c_mktsegment", "c_acctbal")
@@ -85,7 +85,7 @@ def to_unified(df: DataFrame) -> DataFrame:
     """C18 + C19: course rows -> the 17-column silver record."""
     return df.select(
         "record_id", "student_id", F.col("course").cast("string").alias("course"),
-        F.concat(F.lit("Student_"), F.substring("student_id", 2, 100)).alias("name"),
+        F.concat(F.lit("Student_"), F.expr("substring(student_id, 2)")).alias("name"),
         F.col("age").cast("bigint").alias("age"),
         _recode_sex(F.col("sex")).alias("gender"),
         F.concat_ws("-", "school", "address").alias("city"),

@@ -26,6 +26,12 @@ def test_run_all_sources_reports_every_source(dom):
     assert set(rows) == set(flows.SOURCES)
     assert all(r.status == "OK" and r.rows > 0 for r in rows.values())
     assert set(frames) == set(flows.SOURCES)
+    for name, r in rows.items():  # nothing is lost unseen: held-back rows are on disk
+        if r.rows_invalid:
+            held = dom.spark.read.parquet(flows.invalid_path(dom, name))
+            assert held.count() == r.rows_invalid and held.where("student_id IS NOT NULL").isEmpty()
+        assert r.rows <= r.rows_in - r.rows_invalid
+    assert rows["csv"].rows_invalid > 0 and rows["scraper"].rows_in > rows["scraper"].rows + rows["scraper"].rows_invalid
 
 
 def test_silver_merge_contract(dom):
