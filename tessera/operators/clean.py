@@ -61,12 +61,11 @@ def convert_types(df: DataFrame, int_rounding: str = "strict") -> DataFrame:
     return df.withColumns(cols)
 
 
-def coercion_counts(raw: DataFrame, typed: DataFrame, key: str = "ingest_ord") -> DataFrame:
+def coercion_counts(raw: DataFrame, int_rounding: str = "strict") -> DataFrame:
     """C1 report: per column, how many values became NULL by coercion (one pass)."""
     cols = [c for c in INT_COLUMNS + FLOAT_COLUMNS if c in raw.columns]
-    j = raw.select(key, *[F.col(c).alias(f"__r_{c}") for c in cols]).join(
-        typed.select(key, *cols), key)
-    return j.agg(*[
+    both = convert_types(raw.select(*cols, *[F.col(c).alias(f"__r_{c}") for c in cols]), int_rounding)
+    return both.agg(*[
         F.count_if(F.col(c).isNull() & F.col(f"__r_{c}").isNotNull()).alias(c) for c in cols
     ])
 

@@ -124,9 +124,12 @@ CHANGE_SCHEMA = "seq long, op string, student_id long, value string"
 def apply_changes(docs: DataFrame, changes: DataFrame) -> DataFrame:
     """N11-N13 + N15 as one batch job over an ordered change table.
 
-    ops: ``set_gpa`` (last by seq wins), ``add_skill`` / ``remove_skill``
-    (sequential set semantics: the last add/remove of a skill decides),
-    ``inc_attendance`` (deltas summed), ``delete`` (removes the document).
+    ops: ``set_gpa`` (last by seq wins), ``add_skill`` / ``remove_skill`` (as
+    if applied in seq order: a removal takes every copy of a skill, an addition
+    appends a skill that is not there, so skills come in the order of their
+    first addition after their last removal; untouched entries, repeated ones
+    too, stay as stored), ``inc_attendance`` (deltas summed), ``delete``
+    (removes the document).
 
     Per document the changes are reduced by an aggregation whose output is
     bounded by the number of distinct skills touched, then merged into the
@@ -137,20 +140,25 @@ def apply_changes(docs: DataFrame, changes: DataFrame) -> DataFrame:
         F.max_by(F.col("value").cast("double"), F.col("seq")).alias("__gpa"))
     inc = ch.where(F.col("op") == "inc_attendance").groupBy("student_id").agg(
         F.sum(F.col("value").cast("bigint")).alias("__inc"))
-    sk = ch.where(F.col("op").isin("add_skill", "remove_skill")).groupBy("student_id", "value").agg(
-        F.max_by(F.col("op"), F.col("seq")).alias("__last"))
+    pair = ["student_id", "value"]
+    add, rm = F.col("op") == "add_skill", F.col("op") == "remove_skill"
+    touched = ch.where((add | rm) & F.col("value").isNotNull()).select(*pair, "op", "seq")
+    gone = touched.where(rm).groupBy(*pair).agg(F.max("seq").alias("__r"))
+    sk = touched.join(gone, pair, "left").groupBy(*pair).agg(
+        F.max("__r").alias("__r"),
+        F.min(F.when(add & (F.col("__r").isNull() | (F.col("seq") > F.col("__r"))), F.col("seq"))).alias("__a"))
     skills = sk.groupBy("student_id").agg(
-        F.array_sort(F.collect_list(F.when(F.col("__last") == "add_skill", F.col("value")))).alias("__add"),
-        F.array_sort(F.collect_list(F.when(F.col("__last") == "remove_skill", F.col("value")))).alias("__rm"))
+        F.transform(F.array_sort(F.collect_list(F.when(F.col("__a").isNotNull(), F.struct("__a", "value")))),
+                    lambda x: x["value"]).alias("__add"),
+        F.collect_list(F.when(F.col("__r").isNotNull(), F.col("value"))).alias("__rm"))
     dele = ch.where(F.col("op") == "delete").select("student_id").distinct().withColumn("__del", F.lit(True))
     j = (docs.join(gpa, "student_id", "left").join(inc, "student_id", "left")
          .join(skills, "student_id", "left").join(dele, "student_id", "left"))
-    j = j.where(F.col("__del").isNull())
+    kept = F.filter(F.coalesce("skills", F.array().cast("array<string>")),
+                    lambda x: ~F.coalesce(F.array_contains(F.col("__rm"), x), F.lit(False)))
+    j = j.where(F.col("__del").isNull()).withColumn("__kept", kept)
     new_skills = F.when(F.col("__add").isNull() & F.col("__rm").isNull(), F.col("skills")).otherwise(
-        F.array_except(F.array_union(F.col("skills"),
-                                     F.array_except(F.coalesce("__add", F.array().cast("array<string>")),
-                                                    F.col("skills"))),
-                       F.coalesce("__rm", F.array().cast("array<string>"))))
+        F.concat("__kept", F.filter("__add", lambda x: ~F.array_contains(F.col("__kept"), x))))
     new_gpa = F.coalesce("__gpa", F.col("academic.gpa"))
     new_att = F.col("academic.attendance") + F.coalesce("__inc", F.lit(0))
     changed = ((F.col("__gpa").isNotNull() & ~F.col("__gpa").eqNullSafe(F.col("academic.gpa")))
@@ -158,7 +166,7 @@ def apply_changes(docs: DataFrame, changes: DataFrame) -> DataFrame:
                | ~F.array_sort(F.col("skills")).eqNullSafe(F.array_sort(new_skills)))
     out = j.withColumn("modified", F.coalesce(changed, F.lit(False))).withColumn("skills", new_skills).withColumn(
         "academic", F.col("academic").withField("gpa", new_gpa).withField("attendance", new_att))
-    return out.drop("__gpa", "__inc", "__add", "__rm", "__del")
+    return out.drop("__gpa", "__inc", "__add", "__rm", "__kept", "__del")
 
 
 def upsert(docs: DataFrame, incoming: DataFrame, key: str = "student_id", seq: str | None = None) -> DataFrame:

@@ -176,22 +176,29 @@ def n15_delete_by_city(dom):
 
 @register("N12_skill_set_changes",
           f"""WITH changes AS ({CHANGES_SQL}),
-              sk AS (SELECT student_id, value, arg_max(op, seq) AS last FROM changes
-                     WHERE op IN ('add_skill', 'remove_skill') GROUP BY student_id, value),
-              s2 AS (SELECT student_id, COALESCE(list(value) FILTER (WHERE last = 'add_skill'), []) AS adds,
-                            COALESCE(list(value) FILTER (WHERE last = 'remove_skill'), []) AS rms
+              r AS (SELECT student_id, value, MAX(seq) FILTER (WHERE op = 'remove_skill') AS r FROM changes
+                    WHERE op IN ('add_skill', 'remove_skill') GROUP BY student_id, value),
+              sk AS (SELECT c.student_id, c.value, MAX(r.r) AS r,
+                            MIN(c.seq) FILTER (WHERE c.op = 'add_skill' AND c.seq > COALESCE(r.r, -1)) AS a
+                     FROM changes c JOIN r ON c.student_id = r.student_id AND c.value = r.value
+                     WHERE c.op IN ('add_skill', 'remove_skill') GROUP BY c.student_id, c.value),
+              s2 AS (SELECT student_id, COALESCE(list(value ORDER BY a) FILTER (WHERE a IS NOT NULL), []) AS adds,
+                            COALESCE(list(value) FILTER (WHERE r IS NOT NULL), []) AS rms
                      FROM sk GROUP BY student_id),
-              n AS (SELECT d.student_id, d.skills AS old,
+              k AS (SELECT d.student_id, d.skills AS old, s2.adds,
                            CASE WHEN s2.student_id IS NULL THEN d.skills
-                                ELSE list_filter(list_distinct(list_concat(d.skills, s2.adds)),
-                                                 lambda x: NOT list_contains(s2.rms, x)) END AS new
-                    FROM student_docs d LEFT JOIN s2 ON d.student_id = s2.student_id)
-              SELECT student_id, list_sort(new) AS skills,
+                                ELSE list_filter(d.skills, lambda x: NOT list_contains(s2.rms, x)) END AS kept
+                    FROM student_docs d LEFT JOIN s2 ON d.student_id = s2.student_id),
+              n AS (SELECT student_id, old,
+                           CASE WHEN adds IS NULL THEN kept
+                                ELSE list_concat(kept, list_filter(adds, lambda x: NOT list_contains(kept, x)))
+                           END AS new FROM k)
+              SELECT student_id, new AS skills,
                      list_sort(old) IS DISTINCT FROM list_sort(new) AS modified FROM n""")
 def n12_skill_set_changes(dom):
     ch = event_changes(dom).where(F.col("op").isin("add_skill", "remove_skill"))
     out = D.apply_changes(_docs(dom), ch)
-    return out.select("student_id", F.array_sort("skills").alias("skills"), "modified")
+    return out.select("student_id", "skills", "modified")
 
 
 @register("N14_upsert_event_skills",

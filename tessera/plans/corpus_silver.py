@@ -80,7 +80,7 @@ def c1_coerce_types(dom):
                      COUNT(*) FILTER (WHERE t.attendance IS NULL AND b.attendance IS NOT NULL) AS attendance
               FROM bronze_students b JOIN typed t ON b.ingest_ord = t.ingest_ord""")
 def c1_coercion_counts(dom):
-    return C.coercion_counts(bronze_students(dom.spark, dom.dir), _typed(dom))
+    return C.coercion_counts(bronze_students(dom.spark, dom.dir))
 
 
 @register("C2_half_even_coercion",

@@ -97,22 +97,21 @@ def write_report(report: DataFrame, path: str) -> None:
 def storage_stats(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """K8: rows, columns, total bytes and files of a written dataset.
 
-    Bytes come from the ``_metadata.file_size`` column of each file (one row
-    per file after a distinct), so nothing is listed on the driver.
+    Bytes come from the listing of the data files (their contents are not read).
     """
     df = spark.read.format(fmt).option("header", True).load(path)
-    files = df.select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("s")).distinct()
-    sizes = files.agg(F.count(F.lit(1)).alias("files"), F.sum("s").alias("bytes"))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "part-*").load(path)
+    sizes = files.agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
     rows = df.agg(F.count(F.lit(1)).alias("rows"))
     return rows.crossJoin(sizes).select(
         F.lit(fmt).alias("format"), "rows", F.lit(len(df.columns)).alias("columns"), "files", "bytes")
 
 
 def compare_formats(spark: SparkSession, csv_path: str, parquet_path: str) -> DataFrame:
-    """K8: CSV vs Parquet bytes, ratio and percent saved."""
-    a = storage_stats(spark, csv_path, "csv").select(F.col("bytes").alias("csv_bytes"))
-    b = storage_stats(spark, parquet_path, "parquet").select(F.col("bytes").alias("parquet_bytes"))
-    j = a.crossJoin(b)
-    return j.select("csv_bytes", "parquet_bytes",
+    """K8: rows, columns and bytes as CSV and as Parquet, ratio and percent saved."""
+    a, b = (storage_stats(spark, path, fmt).select(*[F.col(c).alias(f"{fmt}_{c}") for c in ("rows", "columns", "bytes")])
+            for path, fmt in ((csv_path, "csv"), (parquet_path, "parquet")))
+    return a.crossJoin(b).select(
+                    "csv_rows", "csv_columns", "csv_bytes", "parquet_rows", "parquet_columns", "parquet_bytes",
                     F.round(F.col("parquet_bytes") / F.col("csv_bytes"), 4).alias("ratio"),
                     F.round((1 - F.col("parquet_bytes") / F.col("csv_bytes")) * 100, 2).alias("saved_pct"))

@@ -40,6 +40,26 @@ def test_change_script(spark):
     assert d.skills == ["Python", "SQL", "Docker"] and d.modified
 
 
+def test_skill_changes_keep_order_and_stored_repeats(spark):
+    docs = spark.createDataFrame([(1, ["b", "a", "b", "c"], (3.0, 90)), (2, ["z", "z"], (3.0, 90)), (3, [], (3.0, 90))],
+                                 "student_id long, skills array<string>, academic struct<gpa:double,attendance:bigint>")
+    ops = [(1, "add_skill", 1, "y"), (2, "add_skill", 1, "x"), (3, "add_skill", 1, "y"), (4, "remove_skill", 1, "c"),
+           (5, "add_skill", 1, "c"), (6, "add_skill", 1, "a"), (7, "remove_skill", 1, "x"), (8, "add_skill", 1, "d"),
+           (9, "add_skill", 2, "z"), (10, "add_skill", 3, "q"), (11, "remove_skill", 3, "q"), (12, "add_skill", 1, None)]
+    got = {r.student_id: (r.skills, r.modified) for r in D.apply_changes(docs, spark.createDataFrame(ops, D.CHANGE_SCHEMA)).collect()}
+
+    def plain(skills, sid):
+        out = list(skills)
+        for _, op, s, v in ops:
+            if s == sid and v is not None:
+                out = [x for x in out if x != v] if op == "remove_skill" else out if v in out else [*out, v]
+        return out
+
+    for r in docs.collect():
+        want = plain(r.skills, r.student_id)
+        assert got[r.student_id] == (want, sorted(want) != sorted(r.skills))
+
+
 def test_upsert(spark):
     docs = _docs(spark)
     inc = spark.createDataFrame([(2001, ("New", 20, "Taiz", "Yemen"))],
