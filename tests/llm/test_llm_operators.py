@@ -128,6 +128,32 @@ def test_lines_equal_a_plain_version(docs, rows):
         assert left.get(i) == ("\n".join(keep) if keep else None)
 
 
+def test_lines_equal_all_pairs_by_edit_similarity(spark):
+    """Against all pairs by edit similarity alone, from one changed word in short lines to lines of 120 words."""
+    r = random.Random(11)
+    vocabulary = ["".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randint(2, 9))) for _ in range(400)]
+    lines = []
+    for n in (5, 6, 8, 10, 14, 20, 30, 60, 120):
+        for _ in range(12):
+            base = [r.choice(vocabulary) for _ in range(n)]
+            changed, dropped = base[:], base[:]
+            changed[r.randrange(n)] = r.choice(vocabulary)
+            del dropped[r.randrange(n)]
+            typed = list(" ".join(base))
+            for _ in range(max(1, len(typed) // 30)):
+                typed[r.randrange(len(typed))] = r.choice("abcdefghij")
+            lines += [" ".join(base), " ".join(changed), " ".join(dropped), "".join(typed)]
+    r.shuffle(lines)
+    names = list(dict.fromkeys(" ".join(normalise(x)) for x in lines if len(normalise(x)) >= 5))
+    sim = line_table(names, 1)[3]
+    links = [(i, j) for i in range(len(names)) for j in range(i) if similar(names[i], names[j], 0.9)]
+    assert sum(int(sim[i] ^ sim[j]).bit_count() > 3 for i, j in links) > 100
+    group = components(len(names), links)
+    want = {i for i in range(len(names)) if group[i] != i}
+    d = spark.createDataFrame(list(enumerate(names)), "doc_id long, text string")
+    assert {x.doc_id for x in line_lists(d).collect() if x.emptied} == want
+
+
 def test_lines_of_odd_rows(docs):
     out = dedup_lines(docs)
     assert out.columns == docs.columns
