@@ -154,6 +154,13 @@ def test_lines_equal_all_pairs_by_edit_similarity(spark):
     assert {x.doc_id for x in line_lists(d).collect() if x.emptied} == want
 
 
+def test_exact_repeats_of_short_lines(spark):
+    rows = [(1, "All rights reserved\nfirst\n\n--\n这是一个很长的没有空格的句子"), (2, "ALL rights  reserved!\nsecond\n\n--\n这是一个很长的没有空格的句子"), (3, "all right reserved\nfirst"), (4, "First")]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {x.doc_id: (x.removed, x.emptied) for x in line_lists(d).collect()}
+    assert got == {1: ("", False), 2: ("0,4", False), 3: ("1", False), 4: ("0", True)}
+
+
 def test_lines_of_odd_rows(docs):
     out = dedup_lines(docs)
     assert out.columns == docs.columns
