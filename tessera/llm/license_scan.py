@@ -1,8 +1,8 @@
 """Licence scan by sentence rules, in DataFrame expressions only.
 
-A text is cut into sentences; each sentence that holds a licence word is normalised
+A text is cut into sentences; each sentence is normalised
 (lower case, runs of other than letters and digits as one space) and named after
-the first known licence sentence that it holds.  The names, in the order of the text,
+the first known licence sentence that it holds; one without a name counts if it holds a licence word.  The names, in the order of the text,
 are matched against ordered rules: a rule that finds its sequence of names
 takes them out and adds its licence, so a longer or more special rule comes
 before a general one.  Names that no rule took stay as ``unmatched``; licence sentences
@@ -102,6 +102,9 @@ CLASSES = (
     ("copyleft", ("AGPL-3.0", "GPL", "GPL-2.0", "GPL-3.0", "GPL-2.0-or-later", "GPL-3.0-or-later", "GPL-or-later", "LGPL", "MPL-2.0", "EPL", "CC-BY-SA")),
     ("permissive", ("Apache", "Apache-2.0", "MIT", "BSD", "BSD-2-Clause", "BSD-3-Clause", "ISC", "CC-BY", "CC0-1.0", "Public-Domain")),
 )
+# Each known licence sentence and licence word holds one of these as it stands in the text; the rest is not normalised.
+HINT = (rf"{TRIGGER}|cc[^a-z0-9]+by|gpl|creative|public[^a-z0-9]+domain|rights[^a-z0-9]+reserved|endorse[^a-z0-9]+or|provided|in[^a-z0-9]+no[^a-z0-9]+event|"
+        r"at[^a-z0-9]+your[^a-z0-9]+option")
 CUT = r"([.;!?])\s+|\n\s*\n"
 
 
@@ -110,15 +113,16 @@ def _token(name: str) -> str:
 
 
 def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: id, n_sentences (with a licence word), n_unknown,
+    """One row per document: id, n_sentences (known ones and those with a licence word), n_unknown,
     sequence (names in order), licenses, unmatched (comma-joined strings) and
     license_class (of the strictest licence; ``unknown`` if there are only
     sentences without a rule, ``none`` if there are no sentences)."""
-    trigger = f"(?i){TRIGGER}"
+    known = "|".join([TRIGGER, *(p for _, p in SENTENCES)])
     t = F.coalesce(F.col(text_col), F.lit(""))
-    d = docs.select(F.col(id_col).alias("id"), F.when(t.rlike(trigger), t).alias("t"))
+    d = docs.select(F.col(id_col).alias("id"), F.when(F.lower(t).rlike(HINT), t).alias("t"))
     parts = F.split(F.regexp_replace("t", CUT, "$1\n\n"), "\n\n", -1)
-    hits = F.transform(F.filter(parts, lambda s: s.rlike(trigger)), lambda s: F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " ")))
+    hinted = F.filter(F.transform(parts, F.lower), lambda s: s.rlike(HINT))
+    hits = F.filter(F.transform(hinted, lambda s: F.trim(F.regexp_replace(s, "[^a-z0-9]+", " "))), lambda s: s.rlike(known))
     d = d.select("id", F.coalesce(hits, F.array().cast("array<string>")).alias("s"))
 
     def name(s):

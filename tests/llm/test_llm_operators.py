@@ -348,6 +348,17 @@ def test_license_scan(spark, docs):
     assert (x.licenses, x.unmatched, x.n_unknown, x.license_class) == ("Apache-2.0,MIT", "", 1, "permissive")
 
 
+def test_license_sentences_without_a_licence_word(spark):
+    want = {"Text is available under CC-BY-SA 4.0.": "CC-BY-SA", "Released under the GNU GPL v3.": "GPL-3.0", "distributed under GPLv3": "GPL-3.0",
+            "This software is provided as is.": "", "In no event shall the authors be liable": "", "All rights\nreserved": "All-Rights-Reserved",
+            "nor the names of its contributors may be used to endorse or promote products": "", "or, at your option, any later version": ""}
+    d = spark.createDataFrame(list(enumerate(want)), "doc_id long, text string")
+    got = {x.doc_id: x for x in license_scan.license_scan(d).collect()}
+    for i, (t, licences) in enumerate(want.items()):
+        assert (got[i].n_sentences, got[i].n_unknown, got[i].licenses) == (1, 0, licences), t
+        assert got[i].license_class != "none"
+
+
 def test_packing_is_an_exact_round_trip(docs, rows):
     from public_tokenizers import path
     from tokenizers import Tokenizer
