@@ -2,7 +2,8 @@
 
 A text is cut into sentences; each sentence is normalised
 (lower case, runs of other than letters and digits as one space) and named after
-the first known licence sentence that it holds; one without a name counts if it holds a licence word.  The names, in the order of the text,
+the first known licence sentence that it holds and every other licence that it names,
+in text order; one without a name counts if it holds a licence word.  The names, in the order of the text,
 are matched against ordered rules: a rule that finds its sequence of names
 takes them out and adds its licence, so a longer or more special rule comes
 before a general one.  Names that no rule took stay as ``unmatched``; licence sentences
@@ -105,6 +106,8 @@ CLASSES = (
 # Each known licence sentence and licence word holds one of these as it stands in the text; the rest is not normalised.
 HINT = (rf"{TRIGGER}|cc[^a-z0-9]+by|gpl|creative|public[^a-z0-9]+domain|rights[^a-z0-9]+reserved|endorse[^a-z0-9]+or|provided|in[^a-z0-9]+no[^a-z0-9]+event|"
         r"at[^a-z0-9]+your[^a-z0-9]+option")
+# General names that a more exact name in the same sentence covers.
+COVERED = {"gpl": ("gpl2", "gpl3", "gpl-later"), "apache": ("apache2",)}
 CUT = r"([.;!?])\s+|\n\s*\n"
 
 
@@ -125,13 +128,40 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     hits = F.filter(F.transform(hinted, lambda s: F.trim(F.regexp_replace(s, "[^a-z0-9]+", " "))), lambda s: s.rlike(known))
     d = d.select("id", F.coalesce(hits, F.array().cast("array<string>")).alias("s"))
 
-    def name(s):
-        c = F.when(s.rlike(SENTENCES[0][1]), _token(SENTENCES[0][0]))
+    single = {r[0] for r, _ in RULES if len(r) == 1}
+    mark = {n: chr(0xE000 + i) for i, (n, _) in enumerate(SENTENCES)}
+
+    def first(s):
+        c = F.when(s.rlike(SENTENCES[0][1]), mark[SENTENCES[0][0]])
         for n, p in SENTENCES[1:]:
-            c = c.when(s.rlike(p), _token(n))
+            c = c.when(s.rlike(p), mark[n])
         return c.otherwise("")
 
-    d = d.select("id", F.size("s").cast("long").alias("n_sentences"), F.transform("s", name).alias("names"))
+    def licences(s):
+        # each name becomes one mark in its place, so that names do not overlap, special ones first
+        for n, p in SENTENCES:
+            if n in single:
+                # what stands between the two ends of a name can hold others
+                head, gap, tail = p.partition(".*(")
+                s = F.regexp_replace(s, f"{head}(.*?)({tail}" if gap else p, mark[n] + ("$1" if gap else ""))
+        return s
+
+    def place(x):
+        c = F.when(F.lit(False), "")
+        for n, p in SENTENCES:
+            if n not in single:
+                c = c.when(x["first"] == mark[n], F.regexp_replace(x["marked"], p, mark[n]))
+        return F.struct(x["first"].alias("first"), F.array_distinct(F.regexp_extract_all(c.otherwise(x["marked"]), F.lit("([\uE000-\uF8FF])"))).alias("found"))
+
+    def chosen(x):
+        lost = (x["first"] != "") & ~F.array_contains(x["found"], x["first"])
+        covered = [F.when(F.arrays_overlap(x["found"], F.array(*[F.lit(mark[e]) for e in exact])), mark[n]).otherwise("") for n, exact in COVERED.items()]
+        return F.concat(F.when(lost, F.array(x["first"])).otherwise(F.array().cast("array<string>")), F.array_except(x["found"], F.array(*covered)))
+
+    token = F.create_map(*[F.lit(x) for n, m in mark.items() for x in (m, _token(n))])
+    d = d.select("id", F.size("s").cast("long").alias("n_sentences"), F.transform("s", lambda s: F.struct(first(s).alias("first"), licences(s).alias("marked"))).alias("names"))
+    d = d.withColumn("names", F.transform(F.transform("names", place), chosen))
+    d = d.withColumn("names", F.transform("names", lambda f: F.array_join(F.transform(f, lambda m: token[m]), "")))
     d = d.withColumn("seq", F.array_join("names", ""))
     rules = F.array(*[F.struct(F.lit("".join(map(_token, r))).alias("find"), F.lit(licence).alias("licence")) for r, licence in RULES])
     start = F.struct(F.col("seq").alias("seq"), F.array().cast("array<string>").alias("found"))

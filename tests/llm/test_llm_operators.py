@@ -359,6 +359,21 @@ def test_license_sentences_without_a_licence_word(spark):
         assert got[i].license_class != "none"
 
 
+def test_license_names_that_share_a_sentence(spark):
+    want = {"Dual-licensed under the MIT License or the Apache License 2.0.": ("mit-name,apache2", {"MIT", "Apache-2.0"}, "permissive"),
+            "a: MIT License\nb: GNU General Public License v3\nc: proprietary": ("mit-name,gpl3,proprietary", {"MIT", "GPL-3.0", "Proprietary"}, "restricted"),
+            "GNU General Public License, or the MIT License, or later": ("gpl-later,mit-name", {"GPL-or-later", "MIT"}, "copyleft"),
+            "CC BY-NC-SA for the text and CC BY for the data": ("cc-by-nc-sa,cc-by", {"CC-BY-NC-SA", "CC-BY"}, "noncommercial"),
+            "Apache License 2.0 (see the Apache License)": ("apache2", {"Apache-2.0"}, "permissive"),
+            "Copyright 2020 by us, all rights reserved": ("all-rights", {"All-Rights-Reserved"}, "restricted"),
+            "THE SOFTWARE IS PROVIDED AS IS, WITHOUT ANY WARRANTY": ("as-is", set(), "unknown")}
+    d = spark.createDataFrame(list(enumerate(want)), "doc_id long, text string")
+    got = {x.doc_id: x for x in license_scan.license_scan(d).collect()}
+    for i, (t, (sequence, licences, cls)) in enumerate(want.items()):
+        x = got[i]
+        assert (x.n_sentences, x.sequence, set(filter(None, x.licenses.split(","))), x.license_class) == (1, sequence, licences, cls), t
+
+
 def test_packing_is_an_exact_round_trip(docs, rows):
     from public_tokenizers import path
     from tokenizers import Tokenizer
