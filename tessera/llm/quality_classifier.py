@@ -9,7 +9,7 @@ parent and a large one itself.  A document's posterior joins its evidence with
 the posterior of its path; below ``keep_at`` it is rejected.
 
 The regression is fitted on at most ``SAMPLE`` labelled rows (least hashes of the
-id) whose crc32(id) mod 3 is not 1; the others are held out.  Site sums cover
+id) whose crc32(id) mod 3 is not 1, one text of each id; the others are held out.  Site sums cover
 all documents.
 
 Defined cases: a null text counts as empty; a null host or path is a site of its own;
@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import broadcast_if_small, materialise
+from tessera.llm.common import broadcast_if_small, materialise, text_key
 from tessera.llm.textstats import FIELDS, stats
 
 SAMPLE = 8_000       # labelled rows of each class the regression is fitted on, at most
@@ -72,13 +72,15 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     # at most 2 * sample rows
     part = [lab.where(F.col("y") == y).orderBy(F.xxhash64("_lid"), "_lid").limit(sample) for y in (0, 1)]
     pick = F.broadcast(part[0].unionByName(part[1]))
-    d = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(pick, F.col("_id") == F.col("_lid")).select("_text", "y")
+    d = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(pick, F.col("_id") == F.col("_lid")).select("_lid", text_key(F.col("_text")).alias("k"), "_text", "y")
 
     def run(batches):
         for b in batches:
-            yield pd.DataFrame({"x": list(features(b["_text"])), "y": b["y"]})
+            yield pd.DataFrame({"_lid": b["_lid"], "k": b["k"], "x": list(features(b["_text"])), "y": b["y"]})
 
-    rows = d.mapInPandas(run, "x array<double>, y int").limit(4 * sample).toPandas()  # repeated ids may add some
+    # one row of each id, that of the least text key: at most 2 * sample
+    rows = (d.mapInPandas(run, f"_lid {dict(d.dtypes)['_lid']}, k binary, x array<double>, y int")
+            .groupBy("_lid").agg(F.min(F.struct("k", "x", "y")).alias("e")).select("_lid", "e.x", "e.y").toPandas().sort_values("_lid"))
     if rows["y"].nunique() < 2:
         return {"mean": 0.0, "sd": 1.0, "b": None, "prior": 0.5}
     y = rows["y"].to_numpy(dtype=np.float64)

@@ -17,7 +17,7 @@ from tessera.llm.line_dedup import dedup_lines, edit_distance, line_lists, line_
 from tessera.llm.ngram_join import ngram_jaccard_join
 from tessera.llm.packing import hilbert, pack
 from tessera.llm.pii import digest, pii_spans, sanitise
-from tessera.llm.quality_classifier import keep_good, quality_classifier
+from tessera.llm.quality_classifier import keep_good, quality_classifier, train
 from tessera.llm.quality_rules import quality_rules
 from tessera.llm.shingles import words
 from tessera.llm.toxicity import toxicity
@@ -286,6 +286,16 @@ def test_quality_classifier_and_filter_agree(docs, labels, none):
     assert all(x.kept for x in quality_classifier(docs, labels.limit(0)).collect())
 
 
+def test_quality_training_rows_of_a_repeated_id(spark):
+    ids = [i for i in range(100) if zlib.crc32(str(i).encode()) % 3 != 1][:8]
+    label = {i: n % 2 for n, i in enumerate(ids)}
+    text = {i: "good words in a row. " * 20 if y else "bad!" * (2 + i) for i, y in label.items()}
+    rows = [(ids[1], text[ids[1]])] * 400 + [(i, text[i]) for i in ids]
+    labels = spark.createDataFrame(list(label.items()), "doc_id long, quality int")
+    once, often = (train(spark.createDataFrame(r, "doc_id long, text string").coalesce(1), labels, sample=4) for r in (rows[400:], rows))
+    assert often["b"] is not None and np.array_equal(often["b"], once["b"])
+
+
 def test_toxicity_on_held_out_rows(spark):
     d, lab = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     y = {r.doc_id: r.toxic for r in lab.collect()}
