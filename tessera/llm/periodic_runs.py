@@ -11,6 +11,9 @@ end at the word, of 6 words for lags below 12 and of m = 12, 24, 48, ... words f
 below 2m.  Windows are numbered by doubling.  In texts without periods hardly any
 word has such an occurrence.  Lags that are multiples of a period that is active
 over both windows are passed over: they begin and end with it and are never smallest.
+So are diagonals between two runs of one period with words between them: these
+break off before they are long enough, unless both runs end together, and then the
+window behind their ends opens the diagonal, from its true beginning on.
 
 A run is a maximal stretch with smallest period q and at least max(12, 2q)
 words.  Two equal stretches differ in period only by a multiple, so of
@@ -77,11 +80,22 @@ def runs(w: np.ndarray) -> list[tuple[int, int, int]]:
 
     word, bits, found = w.tolist(), due.tolist(), []
     active: dict[int, int] = {}     # lag -> first word that matches the one a lag before
+    closed: dict[int, tuple[list[int], list[int]]] = {}     # lag -> starts and ends of the stretches over
+
+    def begin(a: int, q: int) -> int:
+        """First word of the matches at lag ``q`` that hold the window from ``a`` on."""
+        if a == q or word[a - 1] != word[a - 1 - q]:
+            return a
+        other = np.flatnonzero(w[q:a] != w[: a - q])
+        return q + (int(other[-1]) + 1 if len(other) else 0)
 
     def close(lags: list[int], end: int) -> None:
         begun = set()
         for q in sorted(lags):
             start = active.pop(q) - q
+            starts, ends = closed.setdefault(q, ([], []))
+            starts.append(start)
+            ends.append(end)
             if end - start + 1 >= max(LEAST, 2 * q) and start not in begun:
                 begun.add(start)
                 found.append((start, end - start + 1, q))
@@ -99,8 +113,15 @@ def runs(w: np.ndarray) -> list[tuple[int, int, int]]:
                     # lags of at least m (all of them for the shortest window), and not inside an active stretch of period <= m
                     last = min([a - (1 if m == WINDOW else m), *(f - p - 1 for p, f in active.items() if p <= m)])
                     k = bisect_right(order, last, head[a], rank[a]) - 1
+                    p = min((p for p, f in active.items() if 2 * p <= m and f - p <= a), default=0)
+                    starts, ends = closed.get(p, ([], []))
                     while k >= head[a] and a - order[k] < 2 * m:
-                        active.setdefault(a - order[k], a)
+                        before = order[k]
+                        t = bisect_left(ends, before + m - 1)
+                        if t < len(ends) and starts[t] <= before and ends[t] < active[p] - p - 1:
+                            k = bisect_left(order, starts[t], head[a], k)
+                        elif a - before not in active:
+                            active[a - before] = begin(a, a - before)
                         k -= 1
         if active:
             i += 1
