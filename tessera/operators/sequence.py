@@ -5,17 +5,24 @@
 task.  This module computes the same values from Spark's own window functions
 over smaller groups, for inputs of every size alike:
 
-* Row numbers, running sums, lag and lead: a bounded random sample of the keys
-  (``SAMPLE_PER_BUCKET`` rows a bucket) gives boundaries in the order of
+* Row numbers, running sums, lag and lead: the keys and the values asked for are
+  written once as a narrow side table.  A random sample of it (about
+  ``SAMPLE_PER_BUCKET`` rows a bucket) gives boundaries in the order of
   (partition keys, order keys), placed inside partition keys that hold more
   than a bucket's share.  A row's bucket is a function of its keys alone, so it
   is the same in every pass, retry or recomputation; the sample only decides
   how even the buckets are.  Native windows run over (partition keys, bucket),
-  and one aggregate per (partition keys, bucket) of the split keys gives what
-  lies in the buckets before.  A key that no boundary splits needs no offsets.
+  and one aggregate of the side table per (partition keys, bucket) of the split keys gives
+  what lies in the buckets before.  A key that no boundary splits needs no offsets.
+* Boundaries are one value, a scalar subquery of two sorted levels, about the square root
+  of their number each; a row goes through the first, then through one part of the second.
+  The plan has the same size for any number of buckets.
 * Rank, dense rank and sums over the default RANGE frame: rows are counted per
   (partition keys, peer keys) with map-side combine, the running totals are
-  taken over that table, and joined back.  Ties are never gathered.
+  taken over that written table, and joined back.  Ties are never gathered.
+
+A pass runs its input once for the side table and holds it once in its own plan, so a chain of
+k passes reads what it starts from k + 1 times.
 
 Semantics follow SQL: ``running_sum`` uses ROWS UNBOUNDED PRECEDING .. CURRENT
 ROW, ``range_sum`` the default RANGE frame (peers included), ``lag``/``lead``
@@ -30,11 +37,14 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 from itertools import groupby
+from math import isqrt
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.session import written
+
 _ORDER_RE = re.compile(
     r"^\s*(?P<col>[A-Za-z_][A-Za-z0-9_]*)\s*(?P<dir>asc|desc)?\s*(nulls\s+(?P<nulls>first|last))?\s*$",
     re.I,
@@ -60,12 +70,11 @@ class OrderKey:
             return c.asc_nulls_first() if self.null_leads else c.asc_nulls_last()
         return c.desc_nulls_first() if self.null_leads else c.desc_nulls_last()
 
-    def before(self, value) -> Column:
+    def before(self, value: Column) -> Column:
         """True for rows whose key sorts strictly before ``value``."""
-        c = F.col(self.col)
-        if value is None:
-            return F.lit(False) if self.null_leads else c.isNotNull()
-        return F.coalesce(c < F.lit(value) if self.ascending else c > F.lit(value), F.lit(self.null_leads))
+        c, lead = F.col(self.col), F.lit(self.null_leads)
+        less = F.coalesce(c < value if self.ascending else c > value, lead)
+        return F.when(value.isNull(), ~lead & c.isNotNull()).otherwise(less)
 
 
 def parse_order(spec) -> OrderKey:
@@ -79,37 +88,50 @@ def parse_order(spec) -> OrderKey:
     return OrderKey(m.group("col"), asc, None if nulls is None else nulls.lower() == "first")
 
 
-def _before(keys: list[OrderKey], values: tuple) -> Column:
-    """Rows that sort strictly before the key tuple ``values``."""
-    out = keys[-1].before(values[-1])
-    for k, v in zip(reversed(keys[:-1]), reversed(values[:-1])):
-        out = k.before(v) | (F.col(k.col).eqNullSafe(F.lit(v)) & out)
+def _before(keys: list[OrderKey], bound: Column) -> Column:
+    """Rows that sort strictly before ``bound``, a struct of k0, k1, ..."""
+    out = F.lit(False)
+    for i, k in reversed(list(enumerate(keys))):
+        v = bound[f"k{i}"]
+        out = k.before(v) | (F.col(k.col).eqNullSafe(v) & out)
     return out
 
 
-def _bucket(keys: list[OrderKey], bounds: list[tuple], lo: int = 0, hi: int | None = None) -> Column:
-    """Number of ``bounds`` at or before the row, as a balanced decision tree."""
-    hi = len(bounds) if hi is None else hi
-    if lo == hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    return F.when(_before(keys, bounds[mid]), _bucket(keys, bounds, lo, mid)).otherwise(
-        _bucket(keys, bounds, mid + 1, hi))
+def _with_bucket(df: DataFrame, keys: list[OrderKey], levels: DataFrame) -> DataFrame:
+    """``df`` with the number of boundaries at or before each row; ``levels`` is one
+    row: every s-th boundary, and for each of these the s boundaries from it on."""
+    def passed(bounds: Column) -> Column:
+        return F.aggregate(bounds, F.lit(0), lambda n, b: F.when(_before(keys, b), n).otherwise(b["at"]))
 
+    # each level is used once, so that the optimizer puts the subquery in its place and no row carries it
+    d = df.withColumn("__sq_l1", levels.select("l1").scalar()).withColumn("__sq_l2", levels.select("l2").scalar())
+    return d.withColumn("__sq_bucket", passed(F.get("__sq_l2", passed(F.col("__sq_l1"))))).drop("__sq_l1", "__sq_l2")
 
-def _boundaries(df: DataFrame, keys: list[OrderKey], n_part: int, n: int) -> tuple[list[tuple], list[tuple]]:
-    """Boundaries and the partition keys that they split, from a random sample
-    of at most ``n * SAMPLE_PER_BUCKET`` key tuples."""
-    sample = df.select(*[k.col for k in keys]).orderBy(F.rand(17)).limit(n * SAMPLE_PER_BUCKET)
-    rows = [tuple(bytes(v) if isinstance(v, bytearray) else v for v in r) for r in sample.orderBy(*[k.column() for k in keys]).collect()]
-    step = max(1, len(rows) // n)
+
+def _boundaries(side: DataFrame, keys: list[OrderKey], n_part: int, n: int) -> tuple[DataFrame | None, list[tuple]]:
+    """The boundaries as one row of two levels (None: no key is split) and the partition
+    keys that they split, from a random sample of about ``n * SAMPLE_PER_BUCKET`` key tuples."""
+    rows = side.count()
+    wanted = n * SAMPLE_PER_BUCKET
+    sample = side.select(*[k.col for k in keys])
+    if rows > wanted:
+        sample = sample.sample(wanted / rows, seed=17)
+    got = [tuple(bytes(v) if isinstance(v, bytearray) else v for v in r) for r in sample.orderBy(*[k.column() for k in keys]).collect()]
+    step = max(1, len(got) // n)
     bounds, split = [], []
-    for part, run in groupby(rows, key=lambda r: r[:n_part]):
+    for part, run in groupby(got, key=lambda r: r[:n_part]):
         cuts = list(dict.fromkeys(list(run)[step::step]))
         if cuts:
             bounds += cuts
             split.append(part)
-    return bounds, split
+    if not bounds:
+        return None, split
+    size = isqrt(len(bounds)) + 1
+    chunks = [[(i + 1, *b) for i, b in enumerate(bounds)][k: k + size] for k in range(0, len(bounds), size)]
+    one = "struct<at:int," + ",".join(f"k{i}:{side.schema[k.col].dataType.simpleString()}" for i, k in enumerate(keys)) + ">"
+    # part 0 is for the rows before all boundaries
+    row = ([(j + 1, *c[0][1:]) for j, c in enumerate(chunks)], [[], *chunks])
+    return side.sparkSession.createDataFrame([row], f"l1 array<{one}>, l2 array<array<{one}>>"), split
 
 
 def _sum_type(dt: T.DataType) -> T.DataType:
@@ -127,26 +149,27 @@ def _same(left: DataFrame, right: DataFrame, names: dict[str, str]) -> list[Colu
     return [left[a].eqNullSafe(right[b]) for a, b in names.items()]
 
 
-def _rows(df: DataFrame, keys: list[OrderKey], pcols: list[str], n: int, row_number: str | None,
+def _rows(df: DataFrame, side: DataFrame, keys: list[OrderKey], pcols: list[str], n: int, row_number: str | None,
           sums: dict[str, str], lags: dict[str, str], leads: dict[str, str]) -> DataFrame:
-    """Row numbers, ROWS sums, lag and lead over buckets."""
+    """Row numbers, ROWS sums, lag and lead over buckets; ``side`` is a written table
+    of the keys and values of ``df``."""
     full = [OrderKey(c) for c in pcols] + keys
-    bounds, split = _boundaries(df, full, len(pcols), n)
+    levels, split = _boundaries(side, full, len(pcols), n)
     types = {name: _sum_type(df.schema[src].dataType) for name, src in sums.items()}
-    if not bounds:  # no key holds more than a bucket's share
+    if levels is None:  # no key holds more than a bucket's share
         keyed, group = df, pcols
     else:
-        keyed, group = df.withColumn("__sq_bucket", _bucket(full, bounds)), [*pcols, "__sq_bucket"]
+        keyed, group = _with_bucket(df, full, levels), [*pcols, "__sq_bucket"]
     w = Window.partitionBy(*group).orderBy(*[k.column() for k in keys])
     so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cols = {"__sq_rn": F.row_number().over(w).cast("long")}
-    if leads and bounds:
+    if leads and levels is not None:
         cols["__sq_end"] = F.lead(F.lit(1)).over(w).isNull()
     cols |= {f"__sq_s_{name}": F.sum(src).over(so_far) for name, src in sums.items()}
     cols |= {f"__sq_g_{name}": F.lag(src).over(w) for name, src in lags.items()}
     cols |= {f"__sq_d_{name}": F.lead(src).over(w) for name, src in leads.items()}
     local = keyed.withColumns(cols)
-    if not bounds:
+    if levels is None:
         return local.select(
             *df.columns,
             *([F.col("__sq_rn").alias(row_number)] if row_number else []),
@@ -159,11 +182,13 @@ def _rows(df: DataFrame, keys: list[OrderKey], pcols: list[str], n: int, row_num
     # the edge values need positions; plain totals combine before their shuffle
     edges = [F.max_by(F.col(src), F.col("__sq_rn")).alias(f"g_{name}") for name, src in lags.items()]
     edges += [F.min_by(F.col(src), F.col("__sq_rn")).alias(f"d_{name}") for name, src in leads.items()]
-    source = local if edges else keyed
+    source = _with_bucket(side, full, levels)
     if pcols:
         schema = T.StructType([T.StructField(f"__sq_h_{c}", df.schema[c].dataType) for c in pcols])
         hot = df.sparkSession.createDataFrame(split, schema)
         source = source.join(F.broadcast(hot), _same(source, hot, {c: f"__sq_h_{c}" for c in pcols}), "left_semi")
+    if edges:
+        source = source.withColumn("__sq_rn", F.row_number().over(w))
     stats = source.groupBy(*group).agg(*totals, *edges)
     wb = Window.partitionBy(*pcols).orderBy("__sq_bucket")
     earlier = wb.rowsBetween(Window.unboundedPreceding, -1)
@@ -187,16 +212,17 @@ def _rows(df: DataFrame, keys: list[OrderKey], pcols: list[str], n: int, row_num
     return joined.select(*[local[c] for c in df.columns], *outs)
 
 
-def _peers(df: DataFrame, keys: list[OrderKey], pcols: list[str], n: int, rank: str | None,
+def _peers(df: DataFrame, base: DataFrame, keys: list[OrderKey], pcols: list[str], n: int, rank: str | None,
            dense_rank: str | None, sums: dict[str, str]) -> DataFrame:
-    """Rank, dense rank and RANGE sums from one row per peer group."""
+    """Rank, dense rank and RANGE sums from one row per peer group of ``base``,
+    which holds the keys and values of ``df``."""
     group = list(dict.fromkeys([*pcols, *[k.col for k in keys]]))
-    hist = df.groupBy(*group).agg(
-        F.count(F.lit(1)).alias("__sq_c"), *[F.sum(src).alias(f"__sq_t_{name}") for name, src in sums.items()])
+    hist = written(base.groupBy(*group).agg(
+        F.count(F.lit(1)).alias("__sq_c"), *[F.sum(src).alias(f"__sq_t_{name}") for name, src in sums.items()]), "peers")
     run = {f"__sq_r_{name}": f"__sq_t_{name}" for name in sums}
     if rank:
         run["__sq_upto"] = "__sq_c"
-    table = _rows(hist, keys, pcols, n, "__sq_dense" if dense_rank else None, run, {}, {})
+    table = _rows(hist, hist, keys, pcols, n, "__sq_dense" if dense_rank else None, run, {}, {})
     outs = []
     if rank:
         outs.append((F.col("__sq_upto") - F.col("__sq_c") + 1).alias(rank))
@@ -233,12 +259,14 @@ def sequence(
     keys = [parse_order(o) for o in order_by]
     pcols = list(partition_by)
     n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    out = df
+    out = base = df
     if row_number or running_sum or lag or lead:
-        out = _rows(out, keys, pcols, n, row_number, dict(running_sum or {}), dict(lag or {}), dict(lead or {}))
+        values = [c for d in (running_sum, lag, lead, range_sum) for c in (d or {}).values()]
+        base = written(df.select(*dict.fromkeys([*pcols, *[k.col for k in keys], *values])), "order")
+        out = _rows(out, base, keys, pcols, n, row_number, dict(running_sum or {}), dict(lag or {}), dict(lead or {}))
     if rank or dense_rank or range_sum:
         tie_keys = keys if peers is None else keys[:peers]
-        out = _peers(out, tie_keys, pcols, n, rank, dense_rank, dict(range_sum or {}))
+        out = _peers(out, base, tie_keys, pcols, n, rank, dense_rank, dict(range_sum or {}))
     asked = [c for c in (row_number, rank, dense_rank, *(running_sum or {}), *(range_sum or {}), *(lag or {}),
                          *(lead or {})) if c]
     return out.select(*df.columns, *asked)

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job of the library relies on.  AQE re-plans joins and
 # coalesces shuffle partitions at run time; the session time zone is pinned
@@ -77,13 +78,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def written(df: DataFrame, tag: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder, written once and read from there."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/{tag}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send the package to the Python workers of a cluster, once per application.
 
     Functions that run in tasks are pickled by reference, so the workers must
     be able to import this package from wherever the driver was started."""
     sc = spark.sparkContext
-    if sc.master.startswith("local") or getattr(sc, "_tessera_shipped", False):
+    if getattr(sc, "_tessera_shipped", False):
         return
     home = os.path.dirname(os.path.abspath(__file__))
     path = os.path.join(tempfile.mkdtemp(prefix="tessera-zip-"), "tessera.zip")
