@@ -172,6 +172,14 @@ def age_from_dob(dob: Column, as_of) -> Column:
     return F.rint(F.datediff(ref, dob.try_cast("date")) / F.lit(365.25)).cast("bigint")
 
 
+def require_dob(df: DataFrame, col: str = "date_of_birth", id_col: str = "student_id") -> DataFrame:
+    """``col`` as a date; a row whose value is absent or no date fails the job that reads it,
+    with an error that names the row.  Nothing is read when this is called."""
+    bad = F.raise_error(F.concat(F.lit(f"{col} of {id_col} "), F.coalesce(F.col(id_col).cast("string"), F.lit("NULL")), F.lit(" is no date: "),
+                                 F.coalesce(F.col(col).cast("string"), F.lit("NULL"))))
+    return df.withColumn(col, F.coalesce(F.col(col).try_cast("date"), bad.cast("date")))
+
+
 def invalid_dob_rows(df: DataFrame, col: str = "date_of_birth") -> DataFrame:
     """Rows whose date of birth is absent or not a date."""
     return df.where(F.col(col).try_cast("date").isNull())

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,10 +49,23 @@ def evaluate(df: DataFrame, rules: list[Rule]) -> DataFrame:
     return one.selectExpr(f"stack({len(rules)}, {stack}) AS (rule, column_name, failed_count)", "__total AS total_rows")
 
 
-def failing_examples(df: DataFrame, rule: Rule, limit: int = 3) -> list:
-    """Up to ``limit`` example values of a failing rule (bounded, by design)."""
-    col = rule.column or df.columns[0]
-    return [r[0] for r in df.where(rule.failed()).select(col).limit(limit).collect()]
+def failing_examples(df: DataFrame, rules: list[Rule], order: str, limit: int = 3) -> DataFrame:
+    """Q2: (rule, examples): for each rule that fails, the values of its column in the first
+    ``limit`` failing rows by ``order``, as text, a missing value as null.
+
+    One pass emits a narrow row per failure; a rank per rule with a limit is cut to
+    ``limit`` rows in every task before the shuffle, so no rule's failures are ever gathered."""
+    failures = [F.when(r.failed(), F.struct(F.lit(r.name).alias("rule"), F.col(r.column).cast("string").alias("value")))
+                for r in rules if r.column]
+    found = df.select(F.col(order).alias("__o"), F.explode(F.array_compact(F.array(*failures))).alias("f")).select("__o", "f.*")
+    first = found.withColumn("__k", F.row_number().over(Window.partitionBy("rule").orderBy("__o"))).where(F.col("__k") <= limit)
+    listed = first.groupBy("rule").agg(F.array_sort(F.collect_list(F.struct("__k", "value"))).alias("l"))  # at most ``limit`` each
+    return listed.select("rule", F.transform("l", lambda x: x["value"]).alias("examples"))
+
+
+def with_examples(report: DataFrame, df: DataFrame, rules: list[Rule], order: str, limit: int = 3) -> DataFrame:
+    """A rule report with the examples of its failing rules beside it (null for the others)."""
+    return report.join(F.broadcast(failing_examples(df, rules, order, limit)), "rule", "left")  # one row per rule
 
 
 # ---------------------------------------------------------------- Q1
@@ -125,22 +138,36 @@ def raise_if_invalid(report: DataFrame) -> None:
 
 
 # ---------------------------------------------------------------- Q7
+def _cell(c: Column, dt: T.DataType) -> Column:
+    """A value as text, equal for equal values of the type: both zeros of a float
+    are one, nested values are written as JSON."""
+    if isinstance(dt, (T.FloatType, T.DoubleType)):
+        return F.when(c == 0, F.lit("0")).otherwise(c.cast("string"))
+    if isinstance(dt, T.BinaryType):
+        return F.hex(c)
+    if isinstance(dt, (T.StructType, T.ArrayType, T.MapType)):
+        return F.when(c.isNotNull(), F.to_json(F.struct(c.alias("v"))))
+    return c.cast("string")
+
+
 def quality_report(df: DataFrame) -> DataFrame:
     """Q7: per column: type, missing count, unique count, missing %, completeness, tier.
 
-    One aggregation over all columns (exact distinct counts), unpivoted.
+    Each cell becomes one narrow row (column number, value); equal cells are counted
+    in every task before they are shuffled, and a second aggregation counts the values of
+    each column.  Values are compared as :func:`_cell` writes them.
     Percentages are exact decimals rounded half up to 2 places.
     """
     cols = df.columns
-    aggs = [F.count(F.lit(1)).alias("__n")]
-    for i, c in enumerate(cols):
-        aggs += [F.count_if(F.col(c).isNull()).alias(f"__m{i}"), F.count_distinct(F.col(c)).alias(f"__u{i}")]
-    one = df.agg(*aggs)
-    parts = ", ".join(
-        f"'{c}', '{df.schema[c].dataType.simpleString()}', __m{i}, __u{i}" for i, c in enumerate(cols)
-    )
-    rep = one.selectExpr(
-        f"stack({len(cols)}, {parts}) AS (column_name, data_type, missing_count, unique_count)", "__n")
+    cells = F.array(*[F.struct(F.lit(i).alias("__c"), _cell(F.col(f"`{f.name}`"), f.dataType).alias("__v")) for i, f in enumerate(df.schema)])
+    values = df.select(F.inline(cells)).groupBy("__c", "__v").agg(F.count(F.lit(1)).alias("__k"))
+    counts = values.groupBy("__c").agg(
+        F.coalesce(F.sum(F.when(F.col("__v").isNull(), F.col("__k"))), F.lit(0)).alias("missing_count"),
+        F.count("__v").alias("unique_count"), F.sum("__k").alias("__n"))
+    names = df.sparkSession.createDataFrame(
+        [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema)], "__c int, column_name string, data_type string")
+    # one row per column on both sides; a table without rows has no counts
+    rep = names.join(F.broadcast(counts), "__c", "left").na.fill(0, ["missing_count", "unique_count", "__n"])
     pct = F.when(F.col("__n") > 0, F.round(
         F.try_divide(F.col("missing_count").cast("decimal(20,0)") * 100, F.col("__n")), 2)).otherwise(F.lit(0))
     rep = rep.withColumn("__pct", pct.cast("decimal(10,2)"))

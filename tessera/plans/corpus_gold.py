@@ -121,7 +121,7 @@ base AS (
          s.full_name, s.gender, s.date_of_birth, s.city
   FROM students s LEFT JOIN gp g ON s.student_id = g.student_id LEFT JOIN att x ON s.student_id = x.student_id
   LEFT JOIN agg a ON s.student_id = a.student_id LEFT JOIN chg ch ON s.student_id = ch.student_id),
-ranked AS (SELECT *, ROW_NUMBER() OVER (ORDER BY ((student_id % 4294967296) * 1597334677 + 42) % 4294967296,
+ranked AS (SELECT *, ROW_NUMBER() OVER (ORDER BY ('0x' || substr(md5('42:' || student_id), 1, 15))::BIGINT,
                                                  student_id) AS pos, COUNT(*) OVER () AS n FROM base),
 split AS (SELECT * EXCLUDE (pos, n),
                  CASE WHEN pos <= GREATEST(1, CAST(round_even(n * 0.2, 0) AS BIGINT)) THEN 'test' ELSE 'train' END

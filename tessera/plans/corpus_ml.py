@@ -78,7 +78,7 @@ def m2_ml_matrix(dom):
 
 @register("M3_kfold5_sizes",
           f"""WITH {MATRIX_SQL},
-              f AS (SELECT CAST((ROW_NUMBER() OVER (ORDER BY ((row_id % 4294967296) * 1597334677 + 42) % 4294967296,
+              f AS (SELECT CAST((ROW_NUMBER() OVER (ORDER BY ('0x' || substr(md5('42:' || row_id), 1, 15))::BIGINT,
                                                    row_id) - 1) % 5 AS INTEGER) AS fold FROM matrix)
               SELECT fold, COUNT(*) AS n FROM f GROUP BY fold""")
 def m3_kfold5_sizes(dom):
@@ -128,8 +128,7 @@ def m7_describe_cv(dom):
 
 @register("M9_baseline_kfold5_metrics",
           f"""WITH {MATRIX_SQL},
-              f AS (SELECT y, CAST((ROW_NUMBER() OVER (ORDER BY ((row_id % 4294967296) * 1597334677 + 42)
-                                                       % 4294967296, row_id) - 1) % 5 AS INTEGER) AS fold FROM matrix),
+              f AS (SELECT y, CAST((ROW_NUMBER() OVER (ORDER BY ('0x' || substr(md5('42:' || row_id), 1, 15))::BIGINT, row_id) - 1) % 5 AS INTEGER) AS fold FROM matrix),
               tot AS (SELECT SUM(y) AS sy, COUNT(*) AS n FROM f),
               pf AS (SELECT fold, SUM(y) AS fy, COUNT(*) AS fn FROM f GROUP BY fold),
               pr AS (SELECT f.fold, f.y, (tot.sy - pf.fy) / (tot.n - pf.fn) AS pred FROM f JOIN pf ON f.fold = pf.fold,

@@ -232,6 +232,25 @@ def q7_quality_report(dom):
     return Q.quality_report(_typed(dom))
 
 
+def _failing_sql(rule: str, col: str, failed: str) -> str:
+    return (f"SELECT '{rule}' AS rule, string_agg(COALESCE(CAST({col} AS VARCHAR), 'NULL'), '|' ORDER BY ingest_ord) AS examples "
+            f"FROM (SELECT * FROM typed WHERE {failed} ORDER BY ingest_ord LIMIT 3) x HAVING COUNT(*) > 0")
+
+
+# doubles are compared as numbers by the other checks; here as text, so only whole and missing values are asked for
+@register("Q2_failure_examples", f"WITH {TYPED_CTE} " + " UNION ALL ".join([
+    _failing_sql("not_null:student_id", "student_id", "student_id IS NULL"), _failing_sql("not_null:name", "name", "name IS NULL"),
+    _failing_sql("range:age", "age", "NOT COALESCE(age BETWEEN 16 AND 80, TRUE)"),
+    _failing_sql("odd:student_id", "student_id", "NOT COALESCE(student_id % 2 = 1, TRUE)")]))
+def q2_failure_examples(dom):
+    """The first three failing values of each failing rule, in input order."""
+    d = _typed(dom)
+    rules = [r for r in Q.record_rules(d) if r.column not in ("gpa", "attendance")]
+    rules.append(Q.Rule("odd:student_id", "student_id", F.col("student_id") % 2 == 1))  # fails on half of the rows
+    shown = F.array_join(F.transform("examples", lambda x: F.coalesce(x, F.lit("NULL"))), "|")
+    return Q.failing_examples(d, rules, "ingest_ord").select("rule", shown.alias("examples"))
+
+
 @register("Q10_numeric_profile",
           f"""WITH {TYPED_CTE}
               SELECT 'age' AS column_name, CAST(MIN(age) AS DOUBLE) AS min_value, CAST(MAX(age) AS DOUBLE) AS max_value,

@@ -62,7 +62,7 @@ def mongodb_source(dom) -> DataFrame:
 
 def sqlite_source(dom) -> DataFrame:
     """Relational table: rename, age from date of birth (C11, half-even), outliers, keep-first."""
-    s = dom.students()
+    s = C.require_dob(dom.students())
     std = C.rename_columns(s, {"full_name": "name"}).select(
         "student_id", "name", C.age_from_dob(F.col("date_of_birth"), AS_OF).alias("age"),
         F.lit(None).cast("double").alias("gpa"), F.lit(None).cast("double").alias("attendance"), "city")
