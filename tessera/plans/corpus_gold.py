@@ -5,10 +5,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tessera.operators import clean as C
+from tessera.operators import cv as CV
 from tessera.operators import features as FE
 from tessera.operators import star as ST
 from tessera.plans.corpus_silver import CLEAN_CTES, _clean
 from tessera.plans.registry import register
+from tessera.session import written
 
 
 def _fact(dom):
@@ -194,3 +197,24 @@ UNION ALL SELECT 'unique:student_id', 'student_id',
        (SELECT COUNT(*) FROM (SELECT student_id FROM final GROUP BY student_id HAVING COUNT(*) > 1) d)""")
 def q6_feature_checks(dom):
     return FE.validate_features(_features(dom))
+
+
+# ---------------------------------------------------------------- M1
+# Features of the first matrix, and the columns that must not be among them.
+V1_NUMERIC = ["attendance_rate", "n_assessments", "score_change", "age"]
+V1_CATEGORICAL = ["gender", "city"]
+V1_EXCLUDED = ["avg_score", "academic_risk_score", "performance_level", "city_score_gap", "city_rank", "student_id", "full_name", "date_of_birth"]
+
+
+@register("M1_feature_store_matrix",
+          FEATURES_SQL + """
+SELECT attendance_rate, n_assessments, ROUND(score_change, 6) AS score_change,
+       CAST(round_even(datediff('day', date_of_birth, DATE '2026-10-10') / 365.25, 0) AS BIGINT) AS age, gender, city, gpa
+FROM final WHERE n_assessments IS NOT NULL""")
+def m1_feature_store_matrix(dom):
+    """M1: the audited matrix of the feature store: students with scores (the audit refuses
+    missing values), age as of the fixed date from a checked date of birth (C12)."""
+    f = C.require_dob(_features(dom)).where(F.col("n_assessments").isNotNull())
+    f = written(f.withColumn("age", C.age_from_dob(F.col("date_of_birth"), "2026-10-10")), "features")
+    m = CV.feature_matrix(f, V1_NUMERIC, V1_CATEGORICAL, "gpa", V1_EXCLUDED)
+    return m.withColumn("score_change", F.round("score_change", 6))

@@ -18,6 +18,7 @@ from tessera.operators import models as MD
 from tessera.functions.numeric import exact_avg
 from tessera.operators.clean import age_from_dob
 from tessera.plans.registry import register, with_domain
+from tessera.session import written
 
 # Reference date for ages and the experiment grid.
 AS_OF = "2026-10-10"
@@ -52,11 +53,19 @@ MATRIX_SQL = f"""matrix AS (
   JOIN courses c ON p.course_id = c.course_id JOIN students s ON p.student_id = s.student_id)"""
 
 
-def _encoded(df):
-    """Global indicator columns; each fold drops its own first train level."""
+# Columns that tell the target or name the row, never features.
+FORBIDDEN = ("score", "average_score", "student_id", "course_id", "row_id")
+
+
+def _encoded(dom):
+    """The audited matrix (M2), written once, with indicator columns of all levels;
+    each fold drops its own first train level."""
+    df = ml_matrix(dom)
+    CV.feature_matrix(df, NUMERIC_B, CATEGORICAL, "y", FORBIDDEN, "student_id")     # raises; what passes is used as it is
+    df = written(df, "matrix")
     groups = []
     for col in CATEGORICAL:
-        levels = sorted(r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().collect())
+        levels = CV.one_hot_levels(df, col)
         df = CV.one_hot(df, col, levels)
         groups.append([f"{col}_{lv}" for lv in levels])
     return df, groups
@@ -143,29 +152,42 @@ def m9_baseline_kfold5_metrics(dom):
     return m.select("model", "fold", "n", *[F.round(c, 9).alias(c) for c in ("mae", "rmse", "r2")])
 
 
+FEATURE_SETS = {"A": NUMERIC_A, "B": NUMERIC_B}
+
+
 def experiment_matrix(dom):
-    """(fs x cv x model x fold) metrics for baseline, linear and ridge."""
-    base, groups = _encoded(ml_matrix(dom))
+    """M16 without trees: (fs x cv x model x fold) metrics of baseline, linear and ridge over
+    the three fold schemes, and leave-one-out, where each fold is one row and has no R2."""
+    base, groups = _encoded(dom)
     onehots = [c for g in groups for c in g]
-    out = None
     every = NUMERIC_B + onehots  # FS-A is a subset: one statistics pass per scheme
+    out = None
     for scheme in CV_SCHEMES:
-        folded = _folds(base, scheme).checkpoint(eager=True) if _ensure(dom) else None
+        folded = written(_folds(base, scheme), "folds")
         stats = MD.fold_statistics(folded, every, "y")
-        for fs, num in (("A", NUMERIC_A), ("B", NUMERIC_B)):
+        for fs, num in FEATURE_SETS.items():
             feats = num + onehots
             pred = MD.cv_predictions(folded, feats, "y", drop_first_groups=groups,
                                      stats=MD.slice_statistics(stats, every, feats))
             m = MD.fold_metrics(pred).select(F.lit(fs).alias("fs"), F.lit(scheme).alias("cv"), "*")
             out = m if out is None else out.unionByName(m)
+    for fs, model, res in _loo(base, groups):
+        e = F.abs(F.col("loo_residual"))
+        m = res.select(F.lit(fs).alias("fs"), F.lit("loo").alias("cv"), F.lit(model).alias("model"), F.col("row_id").cast("long").alias("fold"),
+                       F.lit(1).cast("long").alias("n"), e.alias("mae"), e.alias("rmse"), F.lit(None).cast("double").alias("r2"))
+        out = out.withColumn("fold", F.col("fold").cast("long")).unionByName(m)
     return out
 
 
-def _ensure(dom):
-    from tessera.session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(dom.spark)
-    return True
+def _loo(base, groups):
+    """(feature set, model, residuals by row_id) of leave-one-out, from one statistics pass."""
+    onehots = [c for g in groups for c in g]
+    every = NUMERIC_B + onehots
+    stats = MD.fold_statistics(base.withColumn("fold", F.lit(0)), every, "y")
+    for fs, num in FEATURE_SETS.items():
+        st = MD.slice_statistics(stats, every, num + onehots)[0]
+        for model in MD.BASE_MODELS:
+            yield fs, model, MD.loo_residuals(base, num + onehots, "y", model, groups=groups, stats=st, extra=("row_id",))
 
 
 @register("M16_experiment_matrix")
@@ -180,16 +202,97 @@ def m17_experiment_summary(dom):
 
 @register("M11_loo_closed_form")
 def m11_loo_closed_form(dom):
-    """LOO for baseline / linear / ridge on FS-B without n refits."""
-    base, groups = _encoded(ml_matrix(dom))
-    # v2 encoding on the full data: drop each group's first level
-    feats = NUMERIC_B + [c for g in groups for c in g[1:]]
-    parts = []
-    for model in MD.BASE_MODELS:
-        r = MD.loo_residuals(base, feats, "y", model)
-        parts.append(MD.loo_metrics(r).select(F.lit("B").alias("fs"), F.lit("loo").alias("cv"),
-                                             F.lit(model).alias("model"), "*"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    """Leave-one-out for baseline / linear / ridge on both feature sets without n refits."""
+    base, groups = _encoded(dom)
+    out = None
+    for fs, model, res in _loo(base, groups):
+        p = MD.loo_metrics(res).select(F.lit(fs).alias("fs"), F.lit("loo").alias("cv"), F.lit(model).alias("model"), "*")
+        out = p if out is None else out.unionByName(p)
+    return out
+
+
+# ---------------------------------------------------------------- M12-M14
+# Ensemble sizes of the registered cells; the functions' defaults are the full sizes.
+TREES = {"random_forest": {"num_trees": 10, "max_depth_rf": 6}, "gradient_boosting": {"max_iter": 8}}
+
+
+def tree_matrix(dom, schemes=tuple(CV_SCHEMES), **sizes):
+    """M12-M14, the tree cells of M16: (fold metrics, importances by feature)."""
+    base, groups = _encoded(dom)
+    onehots = [c for g in groups for c in g]
+    metrics = importances = None
+    for scheme in schemes:
+        folded = written(_folds(base, scheme), "folds").cache()     # small beside the fits that read it again and again
+        for fs, num in FEATURE_SETS.items():
+            for model, size in TREES.items():
+                pred, imp = MD.tree_cv(folded, num + onehots, "y", model, **{**size, **sizes.get(model, {})})
+                cell = [F.lit(fs).alias("fs"), F.lit(scheme).alias("cv")]
+                m = MD.fold_metrics(pred).select(*cell, "*")
+                i = imp.select(*cell, "*")
+                metrics, importances = (m, i) if metrics is None else (metrics.unionByName(m), importances.unionByName(i))
+    return metrics, importances
+
+
+# trees are not SQL: the oracle states what any fit must meet
+_TREE_CELLS = """SELECT fs.fs, cv.cv, model.model, CAST(fold.fold AS INTEGER) AS fold,
+    CASE fs.fs WHEN 'A' THEN 3 ELSE 5 END + (SELECT COUNT(DISTINCT gender) + COUNT(DISTINCT city) FROM matrix) AS n_features,
+    TRUE AS sums_to_one, TRUE AS beats_a_constant
+  FROM (VALUES ('A'), ('B')) fs(fs), (VALUES ('kfold5', 5), ('group_kfold5', 5), ('group_kfold3', 3)) cv(cv, k),
+       (VALUES ('random_forest'), ('gradient_boosting')) model(model), range(5) fold(fold) WHERE fold.fold < cv.k"""
+
+
+@register("M12_M14_tree_cells", f"WITH {MATRIX_SQL} {_TREE_CELLS}")
+def m12_m14_tree_cells(dom):
+    """Every tree cell: importances there for each feature and sum to 1, and with the
+    earlier grades (FS-B) the fit beats a constant; FS-A need only be finite."""
+    metrics, imp = tree_matrix(dom)
+    per = imp.groupBy("fs", "cv", "model", "fold").agg(F.count(F.lit(1)).alias("n_features"), F.sum("importance").alias("s"))
+    good = F.when(F.col("fs") == "B", F.col("r2") > 0).otherwise(~F.isnan("rmse") & F.col("r2").isNotNull())
+    return per.join(F.broadcast(metrics), ["fs", "cv", "model", "fold"], "left").select(
+        "fs", "cv", "model", "fold", "n_features", (F.abs(F.col("s") - 1) < 1e-9).alias("sums_to_one"), F.coalesce(good, F.lit(False)).alias("beats_a_constant"))
+
+
+# ---------------------------------------------------------------- closed forms with one feature
+# With one feature (the first score) linear and ridge are ratios of sums, which SQL can say.
+_ONE = f"""{MATRIX_SQL},
+  f AS (SELECT first_score AS x, y, CAST((ROW_NUMBER() OVER (ORDER BY ('0x' || substr(md5('42:' || row_id), 1, 15))::BIGINT, row_id) - 1) % 5 AS INTEGER) AS fold FROM matrix),
+  alphas AS (SELECT * FROM (VALUES ('linear', 0.0), ('ridge', {MD.RIDGE_ALPHA})) t(model, alpha))"""
+_ONE_FOLDS = f"""{_ONE},
+  s AS (SELECT k.fold, COUNT(*) AS n, AVG(x) AS mx, AVG(y) AS my, covar_pop(x, y) * COUNT(*) AS cxy, var_pop(x) * COUNT(*) AS cxx
+        FROM f JOIN (SELECT DISTINCT fold FROM f) k ON f.fold <> k.fold GROUP BY k.fold),
+  p AS (SELECT a.model, f.fold, f.y, s.my + s.cxy / (s.cxx + a.alpha) * (f.x - s.mx) AS pred FROM f JOIN s ON f.fold = s.fold, alphas a),
+  m AS (SELECT model, fold, COUNT(*) AS n, AVG(abs(y - pred)) AS mae, sqrt(AVG((y - pred) * (y - pred))) AS rmse,
+               1 - SUM((y - pred) * (y - pred)) / (var_pop(y) * COUNT(*)) AS r2 FROM p GROUP BY model, fold)"""
+
+
+def _one_feature_folds(dom):
+    df = CV.kfold(ml_matrix(dom), 5, id_col="row_id")
+    return MD.fold_metrics(MD.cv_predictions(df, ["first_score"], "y", models=("linear", "ridge")))
+
+
+@register("M10_one_feature_folds", f"WITH {_ONE_FOLDS} SELECT model, fold, n, ROUND(mae, 6) AS mae, ROUND(rmse, 6) AS rmse, ROUND(r2, 6) AS r2 FROM m")
+def m10_one_feature_folds(dom):
+    return _one_feature_folds(dom).select("model", "fold", "n", *[F.round(c, 6).alias(c) for c in ("mae", "rmse", "r2")])
+
+
+@register("M17_one_feature_summary", f"""WITH {_ONE_FOLDS} SELECT model, COUNT(*) AS n_folds, ROUND(AVG(mae), 6) AS mae_mean, ROUND(stddev_samp(mae), 6) AS mae_std,
+              ROUND(AVG(rmse), 6) AS rmse_mean, ROUND(stddev_samp(rmse), 6) AS rmse_std, ROUND(AVG(r2), 6) AS r2_mean,
+              ROUND(stddev_samp(r2), 6) AS r2_std, COUNT(r2) AS r2_n_valid FROM m GROUP BY model""")
+def m17_one_feature_summary(dom):
+    r = MD.summarize(_one_feature_folds(dom), ("model",))
+    return r.select("model", "n_folds", *[F.round(f"{m}_{k}", 6).alias(f"{m}_{k}") for m in ("mae", "rmse", "r2") for k in ("mean", "std")], "r2_n_valid")
+
+
+@register("M11_one_feature_loo", f"""WITH {_ONE},
+  t AS (SELECT COUNT(*) AS n, AVG(x) AS mx, AVG(y) AS my, covar_pop(x, y) * COUNT(*) AS cxy, var_pop(x) * COUNT(*) AS cxx FROM f),
+  e AS (SELECT a.model, abs((y - t.my - t.cxy / (t.cxx + a.alpha) * (x - t.mx)) / (1 - 1.0 / t.n - (x - t.mx) * (x - t.mx) / (t.cxx + a.alpha))) AS e
+        FROM f, t, alphas a)
+  SELECT model, COUNT(*) AS n_folds, ROUND(AVG(e), 6) AS mae_mean, ROUND(stddev_samp(e), 6) AS mae_std FROM e GROUP BY model""")
+def m11_one_feature_loo(dom):
+    df = written(ml_matrix(dom), "matrix")
+    out = None
+    for model in ("linear", "ridge"):
+        p = MD.loo_metrics(MD.loo_residuals(df, ["first_score"], "y", model)).select(
+            F.lit(model).alias("model"), "n_folds", F.round("mae_mean", 6).alias("mae_mean"), F.round("mae_std", 6).alias("mae_std"))
+        out = p if out is None else out.unionByName(p)
     return out

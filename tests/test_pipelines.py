@@ -115,6 +115,53 @@ def test_loo_closed_form_equals_refits(spark):
         assert np.allclose(res, brute, atol=1e-9)
 
 
+def test_loo_with_rows_alone_in_a_level_equals_refits(spark):
+    """Levels of one row, the first (dropped) level among them, in two categoricals."""
+    rng = np.random.default_rng(2)
+    n = 24
+    c = ["a"] + ["b"] * 7 + ["c"] * 8 + ["d"] + ["e"] * 7
+    g = ["m", "f"] * 11 + ["x", "f"]
+    x = rng.normal(size=n)
+    y = x * 0.5 + rng.normal(size=n)
+    cols = [[f"c_{k}" for k in "abcde"], [f"g_{k}" for k in "fmx"]]
+    rows = [(i, float(x[i]), *[float(c[i] == k) for k in "abcde"], *[float(g[i] == k) for k in "fmx"], float(y[i])) for i in range(n)]
+    feats = ["x", *cols[0], *cols[1]]
+    df = spark.createDataFrame(rows, "i int, x double, " + ", ".join(f"{f} double" for f in feats[1:]) + ", y double").repartition(3)
+    for model, alpha in (("linear", 0.0), ("ridge", 1.0), ("baseline", 0.0)):
+        got = {r.i: r.loo_residual for r in MD.loo_residuals(df, feats, "y", model, groups=cols, extra=("i",)).collect()}
+        for i in range(n):
+            m = np.arange(n) != i
+            keep_c, keep_g = sorted(set(np.array(c)[m]))[1:], sorted(set(np.array(g)[m]))[1:]
+            d = np.array([[1.0, x[j], *[c[j] == k for k in keep_c], *[g[j] == k for k in keep_g]] for j in range(n)], dtype=float)
+            if model == "baseline":
+                want = y[i] - y[m].mean()
+            else:
+                a = d[m].T @ d[m]
+                a[1:, 1:] += alpha * np.eye(len(a) - 1)
+                want = y[i] - d[i] @ (np.linalg.pinv(a) @ (d[m].T @ y[m]))
+            assert got[i] == pytest.approx(want, abs=1e-8), (model, i)
+
+
+def test_one_hot_levels_are_bounded(spark, monkeypatch):
+    df = spark.range(20).withColumn("c", F.concat(F.lit("l"), F.col("id")))
+    assert len(CV.one_hot_levels(df, "c")) == 20
+    monkeypatch.setattr(CV, "MAX_LEVELS", 19)
+    with pytest.raises(ValueError, match="over 19 levels"):
+        CV.one_hot_levels(df, "c")
+
+
+def test_share_bound_equals_sorting(spark):
+    for seed, n in ((1, 997), (2, 1), (3, 12)):
+        r = np.random.default_rng(seed)
+        h = sorted(int(v) for v in r.integers(0, 2**60, n)) if seed < 3 else [5] * 6 + [9] * 6
+        df = spark.createDataFrame([(v,) for v in h], "h long")
+        for share in (0.2, 0.5, 0.0, 1.0):
+            k = max(1, round(share * n))
+            bound = FE.share_bound(df, "h", share)
+            assert sum(v < bound for v in h) == sum(v <= h[k - 1] for v in h)
+    assert FE.share_bound(spark.range(0).selectExpr("id AS h"), "h", 0.2) == 0
+
+
 def test_metrics_edge_cases(spark):
     df = spark.createDataFrame([("m", 0, 3.32, 3.32), ("m", 0, 3.69, 3.69), ("m", 1, 2.96, 1.0)],
                                "model string, fold int, y double, pred double")
