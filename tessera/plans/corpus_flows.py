@@ -168,6 +168,25 @@ def p6_student_report_export(dom):
     return FL.export_report(dom, f"{L.landing_root(dom.spark, dom.dir)}/p6_report")
 
 
+# ---------------------------------------------------------------- K3
+def bucketed_tables(dom, buckets: int = 16) -> tuple[str, str]:
+    """Students and enrollments as managed tables, both bucketed by student_id."""
+    root = L.landing_root(dom.spark, dom.dir)
+    tag = root.rsplit("/", 1)[-1]
+    names = f"students_{tag}", f"enrollments_{tag}"
+    W.save_table(dom.students().select("student_id", "city"), names[0], buckets=buckets, path=f"{root}/tables/{names[0]}")
+    W.save_table(dom.enrollments().select("enrollment_id", "student_id"), names[1], buckets=buckets, path=f"{root}/tables/{names[1]}")
+    return names
+
+
+@register("K3_bucketed_join", "SELECT city, COUNT(*) AS n_enrollments, COUNT(DISTINCT s.student_id) AS n_students "
+                              "FROM students s JOIN enrollments e ON s.student_id = e.student_id GROUP BY city")
+def k3_bucketed_join(dom):
+    students, enrollments = (dom.spark.table(n) for n in bucketed_tables(dom))
+    per = students.join(enrollments, "student_id").groupBy("student_id", "city").agg(F.count(F.lit(1)).alias("n"))
+    return per.groupBy("city").agg(F.sum("n").alias("n_enrollments"), F.count(F.lit(1)).alias("n_students"))
+
+
 # sizes depend on the codec: the oracle has rows and columns, and that both were written
 @register("K8_csv_vs_parquet",
           """SELECT COUNT(*) AS csv_rows, COUNT(*) AS parquet_rows, 6 AS csv_columns, 6 AS parquet_columns,

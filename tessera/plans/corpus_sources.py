@@ -26,6 +26,34 @@ def s1_s2_csv_students(dom):
     return C.convert_types(df).select("student_id", "name", "age", "gpa", "attendance", "city")
 
 
+# ---------------------------------------------------------------- S3
+JSON_SCHEMA = "student_id string, name string, age string, gpa string, attendance string, city string, ord long"
+
+
+def _half_even(c: str) -> str:
+    return f"CASE WHEN isnan(TRY_CAST({c} AS DOUBLE)) THEN NULL ELSE CAST(round_even(TRY_CAST({c} AS DOUBLE), 0) AS BIGINT) END"
+
+
+@register("S3_json_students",
+          f"""SELECT ingest_ord AS ord, {_half_even('student_id')} AS student_id, name,
+                     CASE WHEN {_half_even('age')} BETWEEN 16 AND 80 THEN {_half_even('age')} END AS age, city
+              FROM bronze_students WHERE ingest_ord % 41 <> 5 AND ingest_ord % 43 <> 7""")
+def s3_json_students(dom):
+    """The JSON recipe: good elements, coerced with half-even rounding (C2), outliers to NULL."""
+    good, _ = R.read_json_arrays(dom.spark, L.students_json(dom.spark, dom.dir), JSON_SCHEMA)
+    d = C.null_outliers(C.convert_types(good, int_rounding="half_even"))
+    return d.select("ord", "student_id", "name", "age", "city")
+
+
+@register("S3_json_bad_elements",
+          """SELECT CASE WHEN ingest_ord % 41 = 5 THEN 'no object' ELSE 'wrong type' END AS reason, COUNT(*) AS n
+             FROM bronze_students WHERE ingest_ord % 41 = 5 OR ingest_ord % 43 = 7 GROUP BY 1""")
+def s3_json_bad_elements(dom):
+    _, bad = R.read_json_arrays(dom.spark, L.students_json(dom.spark, dom.dir), JSON_SCHEMA)
+    reason = F.when(F.ltrim("element").startswith("{"), "wrong type").otherwise("no object")
+    return bad.groupBy(reason.alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+
+
 # ---------------------------------------------------------------- S6
 @register("S6_api_users",
           """SELECT c.c_custkey AS student_id,

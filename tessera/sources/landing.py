@@ -92,6 +92,23 @@ def api_pages(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, f"{landing_root(spark, sf_dir)}/api_pages", build)
 
 
+# ---------------------------------------------------------------- S3: JSON arrays
+def students_json(spark: SparkSession, sf_dir: str) -> str:
+    """Bronze records as JSON arrays of up to 100, one a line; some elements are bare text,
+    and some have a text where the number ``ord`` should be."""
+    def build(path):
+        b = bronze_students(spark, sf_dir)
+        o = F.col("ingest_ord")
+        record = F.to_json(F.struct("student_id", "name", "age", "gpa", "attendance", "city", o.alias("ord")))
+        wrong = F.to_json(F.struct("name", F.concat(F.lit("no. "), o.cast("string")).alias("ord")))
+        element = F.when(o % 41 == 5, F.concat(F.lit('"lost record '), o.cast("string"), F.lit('"'))).when(o % 43 == 7, wrong).otherwise(record)
+        arrays = b.select((o / 100).cast("long").alias("part"), o.alias("o"), element.alias("e")).groupBy("part").agg(
+            F.array_sort(F.collect_list(F.struct("o", "e"))).alias("l"))     # 100 at most
+        arrays.select(F.concat(F.lit("["), F.array_join(F.transform("l", lambda x: x["e"]), ", "), F.lit("]"))).write.mode("overwrite").text(path)
+
+    return _once(spark, f"{landing_root(spark, sf_dir)}/students_json", build)
+
+
 # ---------------------------------------------------------------- S7: HTML table pages
 def student_pages_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze records, repeated ones included, rendered as HTML table pages of

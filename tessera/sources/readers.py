@@ -64,6 +64,25 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType | str, multil
     return df.withColumn("ingest_ord", ingest_order(df))
 
 
+def read_json_arrays(spark: SparkSession, path: str, schema: str, whole_files: bool = False) -> tuple[DataFrame, DataFrame]:
+    """S3: (records, bad elements) of JSON arrays, one array per line, or one per file (``whole_files``).
+
+    Each array is cut into the text of its elements, and each element is parsed on its own, so
+    one that is no object or breaks a type of ``schema`` costs no other: it comes back as
+    (element, ingest_ord) in the second frame.  A line that is no array is one bad element."""
+    if not _path_exists(spark, path):
+        raise FileNotFoundError(path)
+    lines = spark.read.text(path, wholetext=whole_files)
+    lines = lines.withColumn("ord", ingest_order(lines)).where(F.length(F.trim("value")) > 0)
+    cut = F.coalesce(F.from_json("value", "array<string>", {"mode": "PERMISSIVE"}), F.array("value"))
+    elements = lines.select("ord", F.posexplode(cut).alias("pos", "element"))
+    corrupt = "__corrupt"
+    parsed = F.from_json("element", f"{schema}, {corrupt} string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt})
+    rows = elements.select("element", F.struct("ord.f", "ord.b", "ord.i", F.col("pos").alias("p")).alias("ingest_ord"), parsed.alias("r"))
+    bad = F.col("r").isNull() | F.col(f"r.{corrupt}").isNotNull()
+    return (rows.where(~bad).select("r.*", "ingest_ord").drop(corrupt), rows.where(bad).select("element", "ingest_ord"))
+
+
 # ---------------------------------------------------------------- S4
 def read_relational(spark: SparkSession, table: str, path: str | None = None, jdbc: dict | None = None,
                     partition_column: str | None = None, num_partitions: int = 64) -> DataFrame:

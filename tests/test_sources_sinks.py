@@ -109,3 +109,38 @@ def test_metrics_have_six_plain_decimals(spark, tmp_path):
     W.write_metrics(folds, folds, str(tmp_path))
     got = {r.fold: r.mae for r in spark.read.option("header", True).csv(str(tmp_path / "fold_metrics")).collect()}
     assert got == {"1": "1234.567000", "2": None}
+
+
+def test_bucketed_tables_join_without_an_exchange(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    rows = spark.range(500).select((F.col("id") % 90).alias("student_id"), "id")
+    W.save_table(rows, "k3_left", buckets=4, path=str(tmp_path / "l"))
+    W.save_table(spark.range(120).withColumnRenamed("id", "student_id"), "k3_right", buckets=4, path=str(tmp_path / "r"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        per = spark.table("k3_left").join(spark.table("k3_right"), "student_id").groupBy("student_id").count()
+        plan = per._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert per.count() == 90
+        files = [f for f in (tmp_path / "l").iterdir() if f.name.startswith("part-")]
+        assert len(files) == 4
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        for n in ("k3_left", "k3_right"):
+            spark.sql(f"DROP TABLE {n}")
+
+
+def test_json_arrays_lose_one_bad_element_alone(spark, tmp_path):
+    (tmp_path / "lines").mkdir()
+    (tmp_path / "lines" / "a.json").write_text('[{"a": 1, "b": "x"}, "text", {"a": "no"}, null, {"b": "y"}]\n\n[]\n{"a": 5}\nbroken [\n')
+    good, bad = R.read_json_arrays(spark, str(tmp_path / "lines"), "a long, b string")
+    assert sorted(map(tuple, good.select("a", "b").collect()), key=str) == [(1, "x"), (5, None), (None, "y")]
+    assert sorted(str(r.element) for r in bad.collect()) == ["None", "broken [", "text", '{"a":"no"}']
+    (tmp_path / "file").mkdir()
+    (tmp_path / "file" / "b.json").write_text('[\n {"a": 1},\n {"a": 2}\n]')
+    good, bad = R.read_json_arrays(spark, str(tmp_path / "file"), "a long", whole_files=True)
+    assert [r.a for r in good.orderBy("ingest_ord").collect()] == [1, 2] and bad.count() == 0
+    with pytest.raises(FileNotFoundError):
+        R.read_json_arrays(spark, str(tmp_path / "nope"), "a long")
