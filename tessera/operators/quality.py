@@ -262,29 +262,45 @@ def quarantine(df: DataFrame, fail_rules: list[Rule], invalid_rules: list[Rule])
 
 
 # ---------------------------------------------------------------- Q3
+# Sources whose ids must be unique, and whose names and cities must be there.
+UNIQUE_ID_SOURCES = ("csv", "api", "scraper")
+NAMED_SOURCES = ("api", "scraper")
+
+
 def source_rules(source: str, df: DataFrame) -> list[Rule]:
-    """Q3: the rule table of each source.
+    """Q3: the row rules of each source.
 
-    api: ranges only where age is present, gpa/attendance may be NULL;
-    scraper: strict ranges (a missing value fails); other sources: a
-    non-NULL id, and for the CSV source a unique id as well."""
+    api: names and cities, ranges only where age is present, gpa/attendance may be NULL;
+    scraper: names, cities and strict ranges (a missing value fails); other sources: a
+    non-NULL id.  ``source_report`` adds the rules on the whole source."""
+    required = ("student_id", "name", "city") if source in NAMED_SOURCES else ("student_id",)
+    rules = [Rule(f"not_null:{c}", c, F.col(c).isNotNull()) for c in required if c in df.columns]
     if source == "api":
-        return [Rule("not_null:student_id", "student_id", F.col("student_id").isNotNull(), nulls_fail=True),
-                Rule("range:age", "age", F.col("age").between(*OUTLIER_RANGES["age"]))]
+        rules.append(Rule("range:age", "age", F.col("age").between(*OUTLIER_RANGES["age"])))
     if source == "scraper":
-        return [Rule("not_null:student_id", "student_id", F.col("student_id").isNotNull(), nulls_fail=True)] + [
-            Rule(f"range:{c}", c, F.col(c).between(lo, hi), nulls_fail=True) for c, (lo, hi) in OUTLIER_RANGES.items()
-            if c in df.columns]
-    return [Rule("not_null:student_id", "student_id", F.col("student_id").isNotNull(), nulls_fail=True)]
+        rules += [Rule(f"range:{c}", c, F.col(c).between(lo, hi), nulls_fail=True) for c, (lo, hi) in OUTLIER_RANGES.items()
+                  if c in df.columns]
+    return rules
+
+
+def source_report(source: str, rows: int, missing_ids: int, ids: int, failed: dict[str, int]) -> dict[str, int]:
+    """Failed counts by rule: those of the row rules, whether the source is empty, and, where ids
+    must be unique, its rows beyond the first of each id (absent ids count as one)."""
+    out = {"empty": int(rows == 0)} | failed
+    if source in UNIQUE_ID_SOURCES:
+        out["unique:student_id"] = rows - ids - int(missing_ids > 0)
+    return out
 
 
 def validate_source(source: str, df: DataFrame) -> DataFrame:
-    """Q3: (source, rule, failed_count) in one pass; duplicates for the CSV source."""
-    rep = evaluate(df, source_rules(source, df)).select(F.lit(source).alias("source"), "rule", "failed_count")
-    if source == "csv":
-        dup = df.agg((F.count(F.lit(1)) - F.count_distinct("student_id")
-                      - F.coalesce(F.max(F.col("student_id").isNull().cast("int")), F.lit(0))).alias(
-            "failed_count")).select(
-            F.lit(source).alias("source"), F.lit("unique:student_id").alias("rule"), "failed_count")
-        rep = rep.unionByName(dup)
-    return rep
+    """Q3: (source, rule, failed_count), one row per rule; ids are reduced to counts before anything is summed."""
+    rules = source_rules(source, df)
+    missing = F.col("student_id").isNull()
+    part = df.groupBy("student_id").agg(F.count(F.lit(1)).alias("n"), *[F.count_if(r.failed()).alias(f"r{i}") for i, r in enumerate(rules)])
+    total = part.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count_if(missing).alias("no_id"), F.count("student_id").alias("ids"),
+                     *[F.coalesce(F.sum(f"r{i}"), F.lit(0)).alias(f"r{i}") for i in range(len(rules))])
+    cells = {"empty": "CAST(n = 0 AS BIGINT)"} | {r.name: f"r{i}" for i, r in enumerate(rules)}
+    if source in UNIQUE_ID_SOURCES:
+        cells["unique:student_id"] = "n - ids - no_id"
+    listed = ", ".join(f"'{k}', {v}" for k, v in cells.items())
+    return total.selectExpr(f"'{source}' AS source", f"stack({len(cells)}, {listed}) AS (rule, failed_count)")

@@ -1,5 +1,5 @@
-"""Document-collection queries (F1, N1-N15, Q15) over nested student
-documents derived from customer/orders/lineitem/part, with DuckDB oracles
+"""Document-collection queries (F1, N1-N15, Q15) over the landed
+collection of nested student documents, with DuckDB oracles
 (DuckDB structs and lists mirror Spark structs and arrays)."""
 
 from __future__ import annotations
@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from tessera.operators import documents as D
 from tessera.plans.registry import DOMAIN_CTES, register
-from tessera.sources.documents import DOCUMENTS_SQL, student_documents
+from tessera.sources import landing as L
+from tessera.sources.documents import DOCUMENTS_SQL, read_collection
 
 DOMAIN_CTES.setdefault("student_docs", DOCUMENTS_SQL)
 
@@ -19,7 +20,7 @@ PROJECT_YEAR = 1997
 
 
 def _docs(dom):
-    return student_documents(dom.spark, dom.dir)
+    return read_collection(dom.spark, L.student_collection(dom.spark, dom.dir))
 
 
 @register("F1_flatten_documents",

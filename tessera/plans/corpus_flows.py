@@ -13,13 +13,13 @@ from tessera.operators import silver as SV
 from tessera.plans import corpus_relational  # noqa: F401  (registers A11, whose oracle P6 shares)
 from tessera.plans import flows as FL
 from tessera.plans.corpus_silver import CLEAN_CTES, TYPED_CTE, _title, _validate_sql
-from tessera.plans.corpus_sources import UCI_ETL_SQL, _cell, _dbl, _trunc
+from tessera.plans.corpus_sources import UCI_ETL_SQL, _cell, _dbl, _half_even, _trunc
 from tessera.plans.registry import REGISTRY, register
 from tessera.sinks import writers as W
 from tessera.sources import landing as L
 
 
-# ---------------------------------------------------------------- oracle of the five source recipes
+# ---------------------------------------------------------------- oracle of the seven source recipes
 def _ranged(age="age", gpa="gpa", att="attendance"):
     return (f"CASE WHEN {age} BETWEEN 16 AND 80 THEN {age} END AS age, "
             f"CASE WHEN {gpa} BETWEEN 0 AND 4 THEN CAST({gpa} AS DOUBLE) END AS gpa, "
@@ -57,7 +57,14 @@ SOURCES_SQL = f"""{TYPED_CTE},
                      CAST(NULL AS DOUBLE) AS gpa, CAST(NULL AS DOUBLE) AS attendance, city, student_id AS o FROM (
                 SELECT *, CAST(round_even(datediff('day', date_of_birth, DATE '{FL.AS_OF}') / 365.25, 0) AS BIGINT)
                   AS a FROM students) t),
+  pg_src AS (SELECT student_id, name, CASE WHEN student_id % 29 <> 3 AND student_id % 37 <> 5 THEN age END AS age, gpa, attendance, city, o
+             FROM sql_src),
+  json_r AS (SELECT {_half_even('student_id')} AS student_id, name, {_half_even('age')} AS age, {_dbl('gpa')} AS gpa,
+                    {_dbl('attendance')} AS attendance, city, ingest_ord AS o
+             FROM bronze_students WHERE ingest_ord % 41 <> 5 AND ingest_ord % 43 <> 7),
+  json_src AS (SELECT student_id, name, {_ranged()}, city, o FROM json_r WHERE student_id IS NOT NULL {_KEEP_FIRST}),
   src AS (SELECT 'csv' AS source, * FROM csv_src UNION ALL SELECT 'api', * FROM api_src
+          UNION ALL SELECT 'postgres', * FROM pg_src UNION ALL SELECT 'json', * FROM json_src
           UNION ALL SELECT 'scraper', * FROM scr_src UNION ALL SELECT 'mongodb', * FROM mongo_src
           UNION ALL SELECT 'sqlite', * FROM sql_src),
   {UCI_ETL_SQL},
@@ -109,15 +116,43 @@ SELECT 'column', c, NULL, NULL, NULL, CASE WHEN n > 0 THEN ROUND(CAST(nn AS DOUB
 FROM ({_COVERAGE}) cov"""
 
 
+_NO_ID = ("not_null:student_id", "COUNT(*) FILTER (WHERE student_id IS NULL)")
+_NO_NAME = [(f"not_null:{c}", f"COUNT(*) FILTER (WHERE {c} IS NULL)") for c in ("name", "city")]
+_UNIQUE = ("unique:student_id",
+           "COUNT(*) - COUNT(DISTINCT student_id) - COALESCE(MAX(CASE WHEN student_id IS NULL THEN 1 ELSE 0 END), 0)")
+# All rows of each source, those without an id and repeated ones included, and its rules.
+_SOURCE_RULES = {
+    "csv": ("csv_r", [_NO_ID, _UNIQUE]),
+    "json": ("json_r", [_NO_ID]),
+    "mongodb": ("student_docs", [_NO_ID]),
+    "postgres": ("students", [_NO_ID]),
+    "sqlite": ("students", [_NO_ID]),
+    "api": ("api_src", [_NO_ID, *_NO_NAME, _UNIQUE,
+                        ("range:age", "COUNT(*) FILTER (WHERE NOT COALESCE(age BETWEEN 16 AND 80, TRUE))")]),
+    "scraper": ("scr", [_NO_ID, *_NO_NAME, _UNIQUE, *[
+        (f"range:{c}", f"COUNT(*) FILTER (WHERE NOT COALESCE({c} BETWEEN {lo} AND {hi}, FALSE))")
+        for c, lo, hi in (("age", 16, 80), ("gpa", 0, 4), ("attendance", 0, 100))]]),
+}
+RULES_SQL = "\n  UNION ALL ".join(
+    f"SELECT '{source}' AS source, '{rule}' AS rule, CAST({count} AS BIGINT) AS failed_count FROM {rows}"
+    for source, (rows, rules) in _SOURCE_RULES.items()
+    for rule, count in [("empty", "CASE WHEN COUNT(*) = 0 THEN 1 ELSE 0 END"), *rules])
+
+
 @register("P3_run_all_sources",
           f"""WITH {SOURCES_SQL},
+  q3 AS ({RULES_SQL}),
+  failed AS (SELECT source, string_agg(rule || ': ' || CAST(failed_count AS VARCHAR), '; ' ORDER BY rule)
+                              FILTER (WHERE failed_count > 0) AS failed_rules FROM q3 GROUP BY source),
   ins AS (SELECT 'csv' AS source, student_id FROM typed UNION ALL SELECT 'api', c_custkey FROM customer
           UNION ALL SELECT 'scraper', student_id FROM scr UNION ALL SELECT 'mongodb', student_id FROM student_docs
-          UNION ALL SELECT 'sqlite', student_id FROM students),
+          UNION ALL SELECT 'sqlite', student_id FROM students UNION ALL SELECT 'postgres', student_id FROM students
+          UNION ALL SELECT 'json', student_id FROM json_r),
   n_in AS (SELECT source, COUNT(*) AS rows_in, COUNT(*) FILTER (WHERE student_id IS NULL) AS rows_invalid
            FROM ins GROUP BY source)
 SELECT source, 'OK' AS status, ANY_VALUE(rows_in) AS rows_in, ANY_VALUE(rows_invalid) AS rows_invalid,
-       COUNT(*) AS rows FROM src JOIN n_in USING (source) GROUP BY source""")
+       COUNT(*) AS rows, ANY_VALUE(failed_rules) AS failed_rules, 'clean/source=' || source AS path
+FROM src JOIN n_in USING (source) JOIN failed USING (source) GROUP BY source""")
 def p3_run_all_sources(dom):
     status, _ = FL.run_all(dom)
     return status.drop("error")
@@ -211,30 +246,7 @@ def n16_collection_pipeline(dom):
     return FL.collection_pipeline(dom, f"{L.landing_root(dom.spark, dom.dir)}/n16")
 
 
-# Q3 oracle: each source's rows restated in SQL, rows without an id and repeated ones included, then its rule counts.
-Q3_SQL = f"""WITH {TYPED_CTE},
-  csv_r AS (SELECT student_id, CASE WHEN age BETWEEN 16 AND 80 THEN age END AS age, ingest_ord FROM typed),
-  csv_src AS (SELECT student_id FROM csv_r),
-  scr_src AS (SELECT ingest_ord, {_trunc(_cell('student_id'))} AS student_id, {_trunc(_cell('age'))} AS age,
-                 {_dbl(_cell('gpa'))} AS gpa, {_dbl(_cell('attendance'))} AS attendance
-          FROM bronze_students WHERE (ingest_ord // 4) % 31 <> 0),
-  api_src AS (SELECT c_custkey AS student_id, 17 + c_custkey % 45 AS age FROM customer)
-SELECT 'csv' AS source, 'not_null:student_id' AS rule, COUNT(*) FILTER (WHERE student_id IS NULL) AS failed_count
-  FROM csv_src
-UNION ALL SELECT 'csv', 'unique:student_id',
-  COUNT(*) - COUNT(DISTINCT student_id) - COALESCE(MAX(CASE WHEN student_id IS NULL THEN 1 ELSE 0 END), 0) FROM csv_src
-UNION ALL SELECT 'api', 'not_null:student_id', COUNT(*) FILTER (WHERE student_id IS NULL) FROM api_src
-UNION ALL SELECT 'api', 'range:age', COUNT(*) FILTER (WHERE NOT COALESCE(age BETWEEN 16 AND 80, TRUE)) FROM api_src
-UNION ALL SELECT 'scraper', 'not_null:student_id', COUNT(*) FILTER (WHERE student_id IS NULL) FROM scr_src
-UNION ALL SELECT 'scraper', 'range:age', COUNT(*) FILTER (WHERE NOT COALESCE(age BETWEEN 16 AND 80, FALSE)) FROM scr_src
-UNION ALL SELECT 'scraper', 'range:gpa', COUNT(*) FILTER (WHERE NOT COALESCE(gpa BETWEEN 0 AND 4, FALSE)) FROM scr_src
-UNION ALL SELECT 'scraper', 'range:attendance',
-  COUNT(*) FILTER (WHERE NOT COALESCE(attendance BETWEEN 0 AND 100, FALSE)) FROM scr_src
-UNION ALL SELECT 'mongodb', 'not_null:student_id', COUNT(*) FILTER (WHERE student_id IS NULL) FROM student_docs
-UNION ALL SELECT 'sqlite', 'not_null:student_id', COUNT(*) FILTER (WHERE student_id IS NULL) FROM students"""
-
-
-@register("Q3_source_validation", Q3_SQL)
+@register("Q3_source_validation", f"WITH {SOURCES_SQL}, q3 AS ({RULES_SQL}) SELECT * FROM q3")
 def q3_source_validation(dom):
     from tessera.operators.quality import validate_source
 

@@ -11,6 +11,7 @@ from tessera.operators import identity as ID
 from tessera.sinks import writers as W
 from tessera.session import written
 from tessera.plans.corpus_silver import TYPED_CTE, _title
+from tessera.plans.flows import JSON_SCHEMA
 from tessera.plans.registry import DOMAIN_CTES, register
 from tessera.sources import landing as L
 from tessera.sources import readers as R
@@ -27,9 +28,6 @@ def s1_s2_csv_students(dom):
 
 
 # ---------------------------------------------------------------- S3
-JSON_SCHEMA = "student_id string, name string, age string, gpa string, attendance string, city string, ord long"
-
-
 def _half_even(c: str) -> str:
     return f"CASE WHEN isnan(TRY_CAST({c} AS DOUBLE)) THEN NULL ELSE CAST(round_even(TRY_CAST({c} AS DOUBLE), 0) AS BIGINT) END"
 

@@ -20,7 +20,7 @@ from tessera.plans.corpus_gold import FACT_SQL, FEATURES_SQL, _fact, _features
 from tessera.plans.corpus_ml import AS_OF
 from tessera.plans.corpus_silver import CLEAN_CTES, TYPED_CTE, _clean
 from tessera.plans.corpus_sources import UCI_ETL_SQL, _courses
-from tessera.plans.flows import recipe
+from tessera.plans.flows import RECIPES
 from tessera.plans.registry import register
 from tessera.sources import uci as U
 from tessera.sources.bronze import bronze_students
@@ -58,7 +58,17 @@ def c11_student_age(dom):
               SELECT student_id, name, CASE WHEN age BETWEEN 16 AND 80 THEN age END AS age,
                      CAST(NULL AS DOUBLE) AS gpa, CAST(NULL AS DOUBLE) AS attendance, city FROM r""")
 def s4_relational_source(dom):
-    return C.standardize(recipe(dom, "sqlite"))
+    return C.standardize(C.keep_first(RECIPES["sqlite"](dom)))
+
+
+@register("S4_table_extract",
+          f"""SELECT student_id, full_name AS name, CASE WHEN a BETWEEN 16 AND 80 THEN a END AS age,
+                     CAST(NULL AS DOUBLE) AS gpa, CAST(NULL AS DOUBLE) AS attendance, city
+              FROM (SELECT *, CASE WHEN student_id % 29 <> 3 AND student_id % 37 <> 5 THEN
+                      CAST(round_even(datediff('day', date_of_birth, DATE '{AS_OF}') / 365.25, 0) AS BIGINT) END AS a FROM students) t""")
+def s4_table_extract(dom):
+    """S4 on a landed extract: header case, text dates, some absent and some that are no dates."""
+    return C.standardize(C.keep_first(RECIPES["postgres"](dom)))
 
 
 # ---------------------------------------------------------------- C18 (UCI sex labels)
@@ -242,11 +252,11 @@ def e12_window_engine_parity(dom):
               f AS (SELECT student_id, name, COALESCE(age, CAST(round_even(ma, 0) AS BIGINT)) AS age,
                            COALESCE(gpa, mg) AS gpa, COALESCE(attendance, mt) AS attendance, city, ingest_ord
                     FROM r, meds)
-              SELECT student_id, name, age, gpa, attendance, city FROM f WHERE student_id IS NOT NULL
+              SELECT student_id, name, age, gpa, attendance, city FROM f
               QUALIFY ROW_NUMBER() OVER (PARTITION BY student_id ORDER BY ingest_ord) = 1""")
 def c9_csv_source_fill(dom):
-    """The CSV recipe fills medians over the whole source *before* keep-first."""
-    return recipe(dom, "csv").select("student_id", "name", "age", "gpa", "attendance", "city")
+    """The CSV recipe fills medians over the whole source *before* keep-first; rows without an id are one group."""
+    return C.keep_first(RECIPES["csv"](dom)).select("student_id", "name", "age", "gpa", "attendance", "city")
 
 
 # ---------------------------------------------------------------- E10

@@ -22,15 +22,17 @@ from tessera.sinks import writers as W
 from tessera.sources import landing as L
 from tessera.sources import readers as R
 from tessera.session import ensure_checkpoint_dir
-from tessera.sources.documents import student_documents
+from tessera.sources.documents import read_collection
 
 # Reference date for ages derived from a date of birth.
 AS_OF = "2026-10-10"
-SOURCES = ("csv", "api", "scraper", "mongodb", "sqlite")
+SOURCES = ("csv", "sqlite", "postgres", "mongodb", "json", "api", "scraper")
+JSON_SCHEMA = "student_id string, name string, age string, gpa string, attendance string, city string, ord long"
+STANDARD = {"student_id": "bigint", "name": "string", "age": "bigint", "gpa": "double", "attendance": "double", "city": "string"}
 
 
 # ---------------------------------------------------------------- P2: per-source recipes
-# Each recipe gives a source's standard rows; ``recipe`` keeps the first row of each id.
+# Each recipe gives all of a source's standard rows; ``run_source`` keeps the first row of each id.
 def csv_source(dom) -> DataFrame:
     """CSV: lower headers, strict coercion, outliers, median fill."""
     df = R.normalize_headers(R.read_csv(dom.spark, L.students_csv(dom.spark, dom.dir), all_strings=True))
@@ -52,7 +54,7 @@ def scraper_source(dom) -> DataFrame:
 
 def mongodb_source(dom) -> DataFrame:
     """Document collection: flatten, rename nested paths (C13), coerce, outliers."""
-    flat = D.flatten(student_documents(dom.spark, dom.dir))
+    flat = D.flatten(read_collection(dom.spark, L.student_collection(dom.spark, dom.dir)))
     std = C.rename_columns(flat, {"personal.name": "name", "personal.age": "age", "personal.city": "city",
                                   "academic.gpa": "gpa", "academic.attendance": "attendance"})
     std = C.convert_types(std.select("student_id", "name", "age", "gpa", "attendance", "city")).transform(
@@ -70,13 +72,26 @@ def sqlite_source(dom) -> DataFrame:
     return std.withColumn("ingest_ord", F.col("student_id"))
 
 
-RECIPES = {"csv": csv_source, "api": api_source, "scraper": scraper_source, "mongodb": mongodb_source,
-           "sqlite": sqlite_source}
+def postgres_source(dom) -> DataFrame:
+    """Extracted database table: lower headers, rename, age from a date of birth in text (no date: no age), outliers."""
+    s = R.normalize_headers(R.read_relational(dom.spark, "students", path=L.students_extract(dom.spark, dom.dir)))
+    born = F.col("date_of_birth").try_cast("date")
+    std = C.rename_columns(s, {"full_name": "name"}).select(
+        "student_id", "name", C.age_from_dob(born, AS_OF).alias("age"),
+        F.lit(None).cast("double").alias("gpa"), F.lit(None).cast("double").alias("attendance"), "city")
+    std = C.convert_types(std, int_rounding="half_even").transform(C.null_outliers)
+    return std.withColumn("ingest_ord", F.col("student_id"))
 
 
-def recipe(dom, name: str) -> DataFrame:
-    """The rows of a source that can enter silver: first of each id."""
-    return C.keep_first(RECIPES[name](dom).where(F.col("student_id").isNotNull()))
+def json_source(dom) -> DataFrame:
+    """JSON arrays: good elements, coerced with half-even rounding (C2), outliers; bad ones are
+    counted by S3_json_bad_elements."""
+    good, _ = R.read_json_arrays(dom.spark, L.students_json(dom.spark, dom.dir), JSON_SCHEMA)
+    return C.convert_types(good, int_rounding="half_even").transform(C.null_outliers).select(*STANDARD, "ingest_ord")
+
+
+RECIPES = {"csv": csv_source, "api": api_source, "scraper": scraper_source, "mongodb": mongodb_source,
+           "sqlite": sqlite_source, "postgres": postgres_source, "json": json_source}
 
 
 @dataclass
@@ -86,44 +101,58 @@ class SourceResult:
     rows_in: int = 0
     rows_invalid: int = 0
     rows: int = 0
+    failed_rules: str | None = None
+    path: str | None = None
     error: str | None = None
     frame: DataFrame | None = field(default=None, repr=False)
 
 
 def run_source(dom, name: str) -> SourceResult:
-    """Extract -> transform -> split -> keep-first; errors are captured in the result.
+    """Extract -> transform -> validate -> load; errors are captured in the result.
 
-    Rows without an id can't enter silver: they are written to
-    ``invalid_path`` and counted, and the rest of the source flows on."""
+    The rules of the source (Q3) are counted in the pass that counts its rows.  Rows without an id can't enter
+    silver: they are written to ``invalid_path`` and counted, and the rest of the source flows on:
+    the first row of each id is loaded into the source's partition of ``clean_path``,
+    which is all that a rerun of this source replaces."""
     try:
-        # materialised once in the shared checkpoint dir: the status counts,
-        # validation and the merge then read it instead of re-running the recipe
+        # materialised once in the shared checkpoint dir: the counts, the
+        # load and the merge then read it instead of re-running the recipe
         ensure_checkpoint_dir(dom.spark)
         std = RECIPES[name](dom).checkpoint(eager=True)
         named = F.col("student_id").isNotNull()
-        n = std.agg(F.count(F.lit(1)).alias("rows_in"), F.count_if(~named).alias("invalid")).first()
+        rules = Q.source_rules(name, std)
+        n = std.agg(F.count(F.lit(1)).alias("rows_in"), F.count_if(~named).alias("invalid"),
+                    *[F.count_if(r.failed()).alias(f"r{i}") for i, r in enumerate(rules)]).first()
         if n["invalid"]:
             W.write_parquet(std.where(~named), invalid_path(dom, name))
         df = C.keep_first(std.where(named)).checkpoint(eager=True)
         kept = df.count()
         if kept == 0:
             raise ValueError("no rows")
-        return SourceResult(name, "OK", n["rows_in"], n["invalid"], kept, None, df)
+        report = Q.source_report(name, n["rows_in"], n["invalid"], kept, {r.name: n[f"r{i}"] for i, r in enumerate(rules)})
+        failed = "; ".join(f"{rule}: {count}" for rule, count in sorted(report.items()) if count)
+        W.write_source_partition(df.select(*[F.col(c).cast(t) for c, t in STANDARD.items()]), clean_path(dom), name)
+        return SourceResult(name, "OK", n["rows_in"], n["invalid"], kept, failed or None, f"clean/source={name}", None, df)
     except Exception as e:  # noqa: BLE001  (the contract is to report, not raise)
         return SourceResult(name, "FAILED", error=f"{type(e).__name__}: {e}")
 
 
+def clean_path(dom) -> str:
+    """Where the sources are loaded, one partition each."""
+    return f"{L.landing_root(dom.spark, dom.dir)}/clean"
+
+
 def invalid_path(dom, name: str) -> str:
     """Where a source's rows without an id are written."""
     return f"{L.landing_root(dom.spark, dom.dir)}/invalid/{name}"
 
 
 def run_all(dom, sources=SOURCES) -> tuple[DataFrame, dict[str, DataFrame]]:
-    """Every source in isolation; a status table and the good frames."""
+    """Every source in isolation; a status table (paths relative to the landing folder) and the good frames."""
     results = [run_source(dom, s) for s in sources]
     status = dom.spark.createDataFrame(
-        [(r.source, r.status, r.rows_in, r.rows_invalid, r.rows, r.error) for r in results],
-        "source string, status string, rows_in long, rows_invalid long, rows long, error string")
+        [(r.source, r.status, r.rows_in, r.rows_invalid, r.rows, r.failed_rules, r.path, r.error) for r in results],
+        "source string, status string, rows_in long, rows_invalid long, rows long, failed_rules string, path string, error string")
     return status, {r.source: r.frame for r in results if r.frame is not None}
 
 
@@ -192,7 +221,7 @@ def export_report(dom, out_path: str) -> DataFrame:
 def collection_pipeline(dom, out_dir: str) -> DataFrame:
     """Extract -> flatten -> features -> validate -> save -> aggregate.
     Invalid documents are written aside; the result is the per-city summary."""
-    docs = D.validate_documents(student_documents(dom.spark, dom.dir))
+    docs = D.validate_documents(read_collection(dom.spark, L.student_collection(dom.spark, dom.dir)))
     feats = D.add_features(D.flatten(docs.where("is_valid").drop("violations", "is_valid")))
     W.write_parquet(feats, f"{out_dir}/documents_features")
     invalid = docs.where(~F.col("is_valid"))

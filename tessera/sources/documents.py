@@ -12,6 +12,10 @@ Shape: ``student_id``, ``personal{name, age, city, country}``,
 * projects: one per (customer, order priority) -- at most 5 -- with the
   first order year, 'Completed' when every order of the group is filled,
   and the sorted skill names of its parts.
+
+``landing.student_collection`` writes them once as nested Parquet, in the order of city and id;
+``read_collection`` reads that export, so that a query scans only the nested
+paths it asks for and its filters reach the row groups.
 """
 
 from __future__ import annotations
@@ -19,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.sources.tables import read_table
+from tessera.sources.tables import _path_exists, read_table
 
 # Part type -> skill name.
 SKILL_OF_PART_TYPE = {
@@ -32,6 +36,20 @@ SKILL_OF_PART_TYPE = {
 }
 
 
+# The nested record of the collection.
+DOCUMENT_SCHEMA = (
+    "student_id bigint, personal struct<name:string,age:bigint,city:string,country:string>, skills array<string>, "
+    "academic struct<gpa:double,attendance:bigint>, "
+    "projects array<struct<name:string,year:bigint,status:string,technologies:array<string>>>")
+
+
+def read_collection(spark: SparkSession, path: str) -> DataFrame:
+    """The exported collection; a missing export raises."""
+    if not _path_exists(spark, path):
+        raise FileNotFoundError(path)
+    return spark.read.schema(DOCUMENT_SCHEMA).parquet(path)
+
+
 def _skill(col):
     expr = None
     for k, v in SKILL_OF_PART_TYPE.items():

@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 from tessera.session import ensure_checkpoint_dir
 from tessera.sources.bronze import bronze_students
+from tessera.sources.documents import student_documents
+from tessera.sources.domain import Domain
 from tessera.sources.tables import _path_exists, read_table
 
 # The header spelling of the landed student CSV (padded and
@@ -92,10 +94,33 @@ def api_pages(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, f"{landing_root(spark, sf_dir)}/api_pages", build)
 
 
+# ---------------------------------------------------------------- S4: table extract
+def students_extract(spark: SparkSession, sf_dir: str) -> str:
+    """The students table as a database hands it out: names in its own case, birth dates as text, of
+    which some are absent and some are no dates."""
+    def build(path):
+        s = Domain(spark, sf_dir).students()
+        k = F.col("student_id")
+        born = F.when(k % 29 == 3, "31/02/1990").when(k % 37 != 5, F.col("date_of_birth").cast("string"))
+        s.select(k.alias("Student_ID"), F.col("full_name").alias("Full_Name"), born.alias("Date_Of_Birth"),
+                 F.col("city").alias("City")).write.mode("overwrite").parquet(path)
+
+    return _once(spark, f"{landing_root(spark, sf_dir)}/students_extract", build)
+
+
+# ---------------------------------------------------------------- S5: document collection
+def student_collection(spark: SparkSession, sf_dir: str) -> str:
+    """The nested documents, range-partitioned and sorted by city and id."""
+    def build(path):
+        student_documents(spark, sf_dir).orderBy("personal.city", "student_id").write.mode("overwrite").parquet(path)
+
+    return _once(spark, f"{landing_root(spark, sf_dir)}/student_collection", build)
+
+
 # ---------------------------------------------------------------- S3: JSON arrays
 def students_json(spark: SparkSession, sf_dir: str) -> str:
-    """Bronze records as JSON arrays of up to 100, one a line; some elements are bare text,
-    and some have a text where the number ``ord`` should be."""
+    """Bronze records as JSON arrays of up to 100, one a line, in the order of the records; some elements
+    are bare text, and some have a text where the number ``ord`` should be."""
     def build(path):
         b = bronze_students(spark, sf_dir)
         o = F.col("ingest_ord")
@@ -104,9 +129,10 @@ def students_json(spark: SparkSession, sf_dir: str) -> str:
         element = F.when(o % 41 == 5, F.concat(F.lit('"lost record '), o.cast("string"), F.lit('"'))).when(o % 43 == 7, wrong).otherwise(record)
         arrays = b.select((o / 100).cast("long").alias("part"), o.alias("o"), element.alias("e")).groupBy("part").agg(
             F.array_sort(F.collect_list(F.struct("o", "e"))).alias("l"))     # 100 at most
-        arrays.select(F.concat(F.lit("["), F.array_join(F.transform("l", lambda x: x["e"]), ", "), F.lit("]"))).write.mode("overwrite").text(path)
+        line = F.concat(F.lit("["), F.array_join(F.transform("l", lambda x: x["e"]), ", "), F.lit("]"))
+        arrays.orderBy("part").select(line).write.mode("overwrite").text(path)
 
-    return _once(spark, f"{landing_root(spark, sf_dir)}/students_json", build)
+    return _once(spark, f"{landing_root(spark, sf_dir)}/students_json_arrays", build)
 
 
 # ---------------------------------------------------------------- S7: HTML table pages

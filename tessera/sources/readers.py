@@ -21,8 +21,12 @@ def ingest_order(df: DataFrame) -> Column:
     """Input position: (file path, block start, row id inside the split).
 
     ``monotonically_increasing_id`` increases along a split; the file path and
-    block offset order the splits, whatever partition they were packed into."""
-    return F.struct(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"),
+    block offset order the splits, whatever partition they were packed into.
+    The number of a part file counts as a number: part-100000 comes after part-99999."""
+    path, part = F.col("_metadata.file_path"), r"^(.*/part-)(\d+)([^/]*)$"
+    number = F.regexp_extract(path, part, 2)
+    padded = F.concat(F.regexp_extract(path, part, 1), F.lpad(number, 20, "0"), F.regexp_extract(path, part, 3))
+    return F.struct(F.when(number == "", path).otherwise(padded).alias("f"), F.col("_metadata.file_block_start").alias("b"),
                     F.monotonically_increasing_id().alias("i"))
 
 

@@ -73,3 +73,20 @@ def test_upsert_sets_null_adds_fields_and_takes_the_last(spark):
     inc = spark.createDataFrame([(1, "x", "e0", 1), (1, None, "e1", 2), (3, "c", "e3", 1)], "student_id int, name string, email string, seq int")
     got = sorted(tuple(r) for r in D.upsert(docs, inc, seq="seq").collect())
     assert got == [(1, None, 5, "e1", "matched"), (2, "b", 6, None, "unchanged"), (3, "c", None, "e3", "inserted")]
+
+
+def test_collection_scan_holds_only_the_asked_paths(spark):
+    """Nested columns are pruned and nested filters are pushed to the landed files."""
+    from tessera.plans.registry import REGISTRY
+    import tessera.plans.corpus_documents  # noqa: F401
+
+    from .conftest import SF_SMALL
+
+    def plan(key):
+        df = REGISTRY[key].build(spark, SF_SMALL)
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    n4 = plan("N4_projection")
+    assert "ReadSchema: struct<student_id:bigint,personal:struct<name:string>,academic:struct<gpa:double>>" in n4
+    assert "Join" not in n4 and "Exchange" not in n4
+    assert "EqualTo(personal.city" in plan("N1_by_city") and "GreaterThanOrEqual(academic.gpa" in plan("N5_high_performers")

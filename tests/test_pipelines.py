@@ -31,7 +31,26 @@ def test_run_all_sources_reports_every_source(dom):
             held = dom.spark.read.parquet(flows.invalid_path(dom, name))
             assert held.count() == r.rows_invalid and held.where("student_id IS NOT NULL").isEmpty()
         assert r.rows <= r.rows_in - r.rows_invalid
-    assert rows["csv"].rows_invalid > 0 and rows["scraper"].rows_in > rows["scraper"].rows + rows["scraper"].rows_invalid
+        assert r.path == f"clean/source={name}"
+        loaded = dom.spark.read.parquet(f"{flows.clean_path(dom)}/source={name}")
+        assert loaded.count() == r.rows and loaded.columns == list(flows.STANDARD)
+    assert rows["csv"].rows_invalid > 0 and "not_null:student_id" in rows["csv"].failed_rules
+    assert "not_null:city" in rows["api"].failed_rules and rows["mongodb"].failed_rules is None
+    assert rows["scraper"].rows_in > rows["scraper"].rows + rows["scraper"].rows_invalid
+
+
+def test_rerun_replaces_one_source(dom, monkeypatch):
+    from tessera.plans import flows
+
+    flows.run_all(dom, ("json", "postgres"))
+    before = {s: dom.spark.read.parquet(f"{flows.clean_path(dom)}/source={s}").inputFiles() for s in ("json", "postgres")}
+    monkeypatch.setitem(flows.RECIPES, "json", lambda d: flows.csv_source(d).where("student_id < 20"))
+    again = flows.run_source(dom, "json")
+    files = {s: dom.spark.read.parquet(f"{flows.clean_path(dom)}/source={s}").inputFiles() for s in before}
+    assert files["postgres"] == before["postgres"] and not set(files["json"]) & set(before["json"])
+    assert dom.spark.read.parquet(f"{flows.clean_path(dom)}/source=json").count() == again.rows
+    monkeypatch.setitem(flows.RECIPES, "json", lambda d: flows.csv_source(d).limit(0))
+    assert flows.run_source(dom, "json").status == "FAILED"
 
 
 def test_silver_merge_contract(dom):
@@ -296,7 +315,10 @@ def test_source_rules(spark):
     df = spark.createDataFrame([(1, 20, None, None), (1, 99, None, None), (None, 20, 3.0, 50.0)],
                                "student_id long, age long, gpa double, attendance double")
     api = {r.rule: r.failed_count for r in validate_source("api", df).collect()}
-    assert api == {"not_null:student_id": 1, "range:age": 1}
+    assert api == {"empty": 0, "not_null:student_id": 1, "range:age": 1, "unique:student_id": 1}
+    assert {r.rule: r.failed_count for r in validate_source("json", df.limit(0)).collect()} == {"empty": 1, "not_null:student_id": 0}
+    named = df.selectExpr("*", "IF(age = 99, NULL, 'a') AS name", "CAST(NULL AS string) AS city")
+    assert {"not_null:name": 1, "not_null:city": 3}.items() <= {r.rule: r.failed_count for r in validate_source("scraper", named).collect()}.items()
     csv = {r.rule: r.failed_count for r in validate_source("csv", df).collect()}
     assert csv["unique:student_id"] == 1
     scr = {r.rule: r.failed_count for r in validate_source("scraper", df).collect()}
