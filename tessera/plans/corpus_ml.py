@@ -17,6 +17,7 @@ from tessera.operators import cv as CV
 from tessera.operators import models as MD
 from tessera.functions.numeric import exact_avg
 from tessera.operators.clean import age_from_dob
+from tessera.operators.levels import cv_level_predictions
 from tessera.plans.registry import register, with_domain
 from tessera.session import written
 
@@ -296,3 +297,29 @@ def m11_one_feature_loo(dom):
             F.lit(model).alias("model"), "n_folds", F.round("mae_mean", 6).alias("mae_mean"), F.round("mae_std", 6).alias("mae_std"))
         out = p if out is None else out.unionByName(p)
     return out
+
+
+# ---------------------------------------------------------------- M8 with many levels
+# One feature beside the levels: what is left after their elimination is a system of two unknowns, which SQL can solve.
+_LEVELS_SQL = f"""{MATRIX_SQL},
+  f AS (SELECT CAST(course_id AS VARCHAR) AS l, first_score AS x, y,
+               CAST((ROW_NUMBER() OVER (ORDER BY ('0x' || substr(md5('42:' || row_id), 1, 15))::BIGINT, row_id) - 1) % 5 AS INTEGER) AS fold FROM matrix),
+  tr AS (SELECT k.fold, f.l, COUNT(*) AS n, SUM(x) AS sx, SUM(y) AS sy, SUM(x * x) AS sxx, SUM(x * y) AS sxy
+         FROM f JOIN (SELECT DISTINCT fold FROM f) k ON f.fold <> k.fold GROUP BY k.fold, f.l),
+  alphas AS (SELECT * FROM (VALUES ('linear', 0.0::DOUBLE), ('ridge', {MD.RIDGE_ALPHA}::DOUBLE)) t(model, alpha)),
+  w AS (SELECT a.model, a.alpha, tr.*, CASE WHEN l = MIN(l) OVER (PARTITION BY a.model, tr.fold) THEN 0 ELSE 1 / (n + alpha) END AS w FROM tr, alphas a),
+  s AS (SELECT model, fold, SUM(n) - SUM(w * n * n) AS a11, SUM(sx) - SUM(w * n * sx) AS a12, SUM(sxx) + ANY_VALUE(alpha) - SUM(w * sx * sx) AS a22,
+               SUM(sy) - SUM(w * n * sy) AS b1, SUM(sxy) - SUM(w * sx * sy) AS b2 FROM w GROUP BY model, fold),
+  b AS (SELECT model, fold, (a22 * b1 - a12 * b2) / (a11 * a22 - a12 * a12) AS c0, (a11 * b2 - a12 * b1) / (a11 * a22 - a12 * a12) AS c1 FROM s),
+  p AS (SELECT b.model, f.fold, f.y, c0 + c1 * f.x + COALESCE(w.w * (w.sy - w.n * c0 - w.sx * c1), 0) AS pred
+        FROM f JOIN b ON f.fold = b.fold LEFT JOIN w ON w.model = b.model AND w.fold = f.fold AND w.l = f.l)"""
+
+
+@register("M8_course_levels", f"""WITH {_LEVELS_SQL}
+  SELECT model, fold, COUNT(*) AS n, ROUND(AVG(abs(y - pred)), 6) AS mae, ROUND(sqrt(AVG((y - pred) * (y - pred))), 6) AS rmse,
+         ROUND(1 - SUM((y - pred) * (y - pred)) / (var_pop(y) * COUNT(*)), 6) AS r2 FROM p GROUP BY model, fold""")
+def m8_course_levels(dom):
+    """M8 without a column per level: every course is a level, the first score the feature beside it."""
+    df = written(CV.kfold(ml_matrix(dom), 5, id_col="row_id").withColumn("course", F.col("course_id").cast("string")), "folds")
+    m = MD.fold_metrics(cv_level_predictions(df, ["first_score"], "course", "y"))
+    return m.select("model", "fold", "n", *[F.round(c, 6).alias(c) for c in ("mae", "rmse", "r2")])
