@@ -184,12 +184,32 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def oracle() -> str:
-    """The scan in DuckDB SQL, from the same fixed values."""
-    case = " ".join(f"WHEN regexp_matches(x, '{p}') THEN '{_token(n)}'" for n, p in SENTENCES)
-    sql = f"""WITH p AS (SELECT doc_id, [x FOR x IN string_split(regexp_replace(coalesce(text, ''), '{CUT}', '\\1' || chr(10) || chr(10), 'g'), chr(10) || chr(10))
-      IF regexp_matches(x, '(?i){TRIGGER}')] AS s FROM documents),
-    t AS (SELECT doc_id, CAST(len(s) AS BIGINT) AS n_sentences, [trim(regexp_replace(lower(x), '[^a-z0-9]+', ' ', 'g')) FOR x IN s] AS s FROM p),
-    n AS (SELECT doc_id, n_sentences, [CASE {case} ELSE '' END FOR x IN s] AS names FROM t),
+    """The scan in DuckDB SQL, from the same fixed values: sentences are normalised and looked up one
+    by one, and their names put together again in the order of the text."""
+    known = "|".join([TRIGGER, *(p for _, p in SENTENCES)])
+    single = {r[0] for r, _ in RULES if len(r) == 1}
+    mark = {n: chr(0xE000 + i) for i, (n, _) in enumerate(SENTENCES)}
+    first = " ".join(f"WHEN regexp_matches(s, '{p}') THEN '{mark[n]}'" for n, p in SENTENCES)
+    place = " ".join(f"WHEN first = '{mark[n]}' THEN regexp_replace(marked, '{p}', '{mark[n]}', 'g')" for n, p in SENTENCES if n not in single)
+    marked, tokens = "s", "array_to_string(l, '')"
+    for n, p in SENTENCES:
+        head, gap, tail = p.partition(".*(")
+        if n in single:
+            marked = f"regexp_replace({marked}, '{f'{head}(.*?)({tail}' if gap else p}', '{mark[n]}{chr(92) + '1' if gap else ''}', 'g')"
+        tokens = f"replace({tokens}, '{mark[n]}', '{_token(n)}')"
+    covered = " ".join(f"AND NOT (m = '{mark[n]}' AND list_has_any(found, [{', '.join(f"'{mark[e]}'" for e in exact)}]))" for n, exact in COVERED.items())
+    sql = f"""WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+    p AS (SELECT rid, [trim(regexp_replace(lower(x), '[^a-z0-9]+', ' ', 'g'))
+            FOR x IN string_split(regexp_replace(t, '{CUT.replace(chr(92) + "s", "[ " + chr(92) + "x09-" + chr(92) + "x0D]")}', '\\1' || chr(10) || chr(10), 'g'), chr(10) || chr(10))
+            IF regexp_matches(lower(x), '{HINT}')] AS s FROM d),
+    e AS (SELECT rid, generate_subscripts(s, 1) AS i, unnest(s) AS s FROM p),
+    f AS (SELECT rid, i, CASE {first} ELSE '' END AS first, {marked} AS marked FROM e WHERE regexp_matches(s, '{known}')),
+    g AS (SELECT rid, i, first, regexp_extract_all(CASE {place} ELSE marked END, '[{chr(0xE000)}-{chr(0xF8FF)}]') AS twice FROM f),
+    h AS (SELECT rid, i, first, list_filter(twice, lambda m, k: list_position(twice, m) = k) AS found FROM g),
+    o AS (SELECT rid, i, list_concat(CASE WHEN first <> '' AND NOT list_contains(found, first) THEN [first] ELSE [] END,
+                                     list_filter(found, lambda m: true {covered})) AS l FROM h),
+    a AS (SELECT rid, list({tokens} ORDER BY i) AS names FROM o GROUP BY rid),
+    n AS (SELECT doc_id, coalesce(names, CAST([] AS VARCHAR[])) AS names, CAST(len(coalesce(names, [])) AS BIGINT) AS n_sentences FROM d LEFT JOIN a USING (rid)),
     r0 AS (SELECT *, coalesce(array_to_string(names, ''), '') AS seq, CAST([] AS VARCHAR[]) AS found, coalesce(array_to_string(names, ''), '') AS rest FROM n)"""
     for i, (r, licence) in enumerate(RULES):
         f = "".join(map(_token, r))

@@ -382,6 +382,27 @@ def test_license_sentences_without_a_licence_word(spark):
         assert got[i].license_class != "none"
 
 
+def test_license_oracle_on_planted_sentences(spark):
+    """The SQL restates the operator: names that share a sentence, sentences without a licence word, any cut and any case."""
+    pick = random.Random(4)
+    names = ["MIT License", "Apache License, Version 2.0", "Apache License", "GNU GPL v3", "GPLv2", "GNU General Public License", "CC BY-NC-SA 4.0", "CC-BY", "CC0",
+             "BSD-3-Clause", "modified BSD license", "SPDX-License-Identifier: MIT", "Mozilla Public License 2.0", "public\ndomain", "proprietary", "LGPL"]
+    rest = ["This software is provided as is", "in no event shall the authors be liable", "without any warranty", "All rights reserved", "Copyright 2020", "or later",
+            "at your option, any later version", "neither the name of X nor the names of its contributors may be used to endorse or promote products",
+            "Permission is hereby granted, free of charge", "see the accompanying LICENSE file", "some permission", "plain words", "Ünï", ""]
+    glue = [" ", " or the ", ". ", ".\n", "; ", "\n", "\n \n", ", ", "! ", " / "]
+    texts = ["".join(pick.choice((str, str.upper, str.lower))(pick.choice(names + rest)) + pick.choice(glue) for _ in range(pick.randint(1, 9))) for _ in range(600)]
+    rows = [(None if i % 97 == 0 else i // 2, t) for i, t in enumerate([*texts, None, ""])]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    r = license_scan.license_scan(d)
+    got = sort(map(tuple, r.collect()))
+    assert got == sort(con.execute(license_scan.oracle()).fetchall())
+    assert sum("," in x[r.columns.index("licenses")] for x in got) > 200
+
+
 def test_license_names_that_share_a_sentence(spark):
     want = {"Dual-licensed under the MIT License or the Apache License 2.0.": ("mit-name,apache2", {"MIT", "Apache-2.0"}, "permissive"),
             "a: MIT License\nb: GNU General Public License v3\nc: proprietary": ("mit-name,gpl3,proprietary", {"MIT", "GPL-3.0", "Proprietary"}, "restricted"),
