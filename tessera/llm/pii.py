@@ -5,7 +5,9 @@ numbers).  A word then discloses an entity if the corpus says so: with p(e) the
 share of all words that stand in lines with entity e and p(e|t) the share of
 the occurrences of term t that do, t tells PMI(t, e) = log2(p(e|t) / p(e))
 bits of the IC(e) = -log2 p(e) bits that identify e.  A term is generalised where
-PMI >= ``disclose`` * IC and removed from ``remove`` * IC on, in every text that holds it.  Only
+PMI >= ``disclose`` * IC and removed from ``remove`` * IC on, in every text that holds it.  Any
+token with a letter or digit can be a term, handles, hyphenated and short names and account
+numbers too, unless it is a protected entity of that line or a part of one.  Only
 pairs met in at least ``support`` different neighbourhoods (words to the left and right) count,
 so copies of one line are no evidence.
 
@@ -34,7 +36,7 @@ MASK = {"email": "<EMAIL>", "ip": "<IP>", "card": "<CARD>", "phone": "<PHONE>"}
 GENERAL, REMOVED = "<TERM>", "<REMOVED>"
 # what stands between two tokens: no letter, digit or inner mark of an address
 BETWEEN = r"(?:[^\p{L}\p{N}@._%+-]|[._%+-](?![\p{L}\p{N}@]))++"
-TERM = r"^\p{L}{3,}$"
+TERM = r"[\p{L}\p{N}]"
 
 SPAN = "array<struct<start:int,end:int,value:string>>"
 
@@ -116,9 +118,12 @@ def joint_counts(base: DataFrame) -> tuple[DataFrame, DataFrame]:
     term in lines with an entity, their different neighbourhoods, and the words of those lines."""
     line = base.where(F.size("lines") > 0).select(F.explode("lines").alias("line"))
     ent = F.concat(*[_entities(F.col("line"), k) for k in KINDS])
-    line = line.select(tokens(F.col("line")).alias("w"), F.array_distinct(ent).alias("entities")).select("w", F.explode("entities").alias("entity"))
+    line = line.select(tokens(F.col("line")).alias("w"), F.array_distinct(ent).alias("entities"))
+    named = F.flatten(F.transform("entities", lambda e: tokens(F.substring_index(e, ":", -1))))     # no entity holds a colon
+    line = line.select("w", named.alias("named"), F.explode("entities").alias("entity"))
     words = line.groupBy("entity").agg(F.sum(F.size("w")).alias("words"))
     term = F.transform("w", lambda t, i: F.struct(t.alias("term"), F.xxhash64(F.get("w", i - 1), F.get("w", i + 1)).alias("near")))
+    term = F.filter(term, lambda x: ~F.array_contains("named", x["term"]))
     pairs = line.select("entity", F.explode(term).alias("p")).select("entity", "p.term", "p.near").where(F.col("term").rlike(TERM))
     pairs = pairs.groupBy("entity", "term", "near").agg(F.count("*").alias("n"))
     return pairs.groupBy("entity", "term").agg(F.sum("n").alias("together"), F.count("*").alias("support")), words
@@ -155,7 +160,8 @@ def term_spans(docs: DataFrame, id_col: str, text_col: str, terms: DataFrame) ->
     hits = materialise(hits, "hits")
     d = d.join(broadcast_if_small(hits.select(F.col("id").alias("_i"), F.col("key").alias("_k"), "hits"), 20_000),
                F.col("id").eqNullSafe(F.col("_i")) & (F.col("key") == F.col("_k"))).select("id", "key", "t", F.explode("hits").alias("h"))
-    pattern = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}@._%+-])"), F.col("h.term"), F.lit(r"(?![\p{L}\p{N}@]|[._%+-][\p{L}\p{N}@])"))
+    # no token holds a backslash, so the quoting can't end early
+    pattern = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}@._%+-])\Q"), F.col("h.term"), F.lit(r"\E(?![\p{L}\p{N}@]|[._%+-][\p{L}\p{N}@])"))
     d = d.select("id", "key", "h", F.split("t", pattern, -1).alias("p"), F.regexp_extract_all("t", pattern, F.lit(0)).alias("v"))
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,action:string>>").alias("spans"))
 

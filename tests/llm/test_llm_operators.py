@@ -4,10 +4,12 @@ nulls, empty and long texts, ties, repeated rows, empty tables and extra columns
 import random
 import re
 import zlib
+from collections import Counter
 
 import duckdb
 import numpy as np
 import pytest
+import regex
 
 import corpus_pipeline
 from tessera.llm import license_scan, mixing
@@ -263,6 +265,43 @@ def test_pii_terms_that_disclose_an_entity(spark):
     assert "anzibar" not in clean[600] and "joe@" not in clean[503] and "<EMAIL>" in clean[503] and clean[601] is None and clean[4] == rows[4][1]
 
 
+def test_pii_terms_of_any_form_equal_plain_counts(spark):
+    """Handles, hyphenated and short names and numbers are terms like words; parts of entities aren't.  PMI and IC are counted plainly."""
+    r = random.Random(8)
+    filler = [f"{a}{b}" for a in ("al", "be", "ga", "de", "ep") for b in ("pha", "ta", "mma", "lta", "silon")]
+    some = lambda: " ".join(r.choice(filler) for _ in range(3))
+    names = ["Wanda", "jdoe42", "Jean-Luc", "Bo", "AC.77-19"]
+    rows = [(i, some() + " " + some()) for i in range(400)]
+    rows += [(500 + i, f"{some()} " + " ".join(f"{n} {r.choice(filler)}" for n in names) + " w.k@corp.example call +1 (22) 333-44 55\n" + some()) for i in range(5)]
+    rows += [(600 + i, f"{n} met {n.upper()}, 333-44") for i, n in enumerate(names)]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    token = lambda t: [w for w in regex.split(r"(?:[^\p{L}\p{N}@._%+-]|[._%+-](?![\p{L}\p{N}@]))++", t.lower()) if w]
+    every = Counter(w for _, t in rows for w in token(t))
+    total = sum(every.values())
+    met, near, in_lines = Counter(), {}, Counter()
+    for _, t in rows:
+        for line in t.split("\n"):
+            ent = [f"{k}:{m[0].lower()}" for k, p in RULE.items() for m in re.finditer(p, line) if passes(k, m[0])]
+            own = {w for e in ent for w in token(e.split(":", 1)[1])}
+            w = token(line)
+            for e in set(ent):
+                in_lines[e] += len(w)
+                for j, x in enumerate(w):
+                    if x not in own:
+                        met[e, x] += 1
+                        near.setdefault((e, x), set()).add((w[j - 1] if j else None, w[j + 1] if j + 1 < len(w) else None))
+    want = set()
+    for (e, x), n in met.items():
+        if len(near[e, x]) >= 3 and regex.search(r"[\p{L}\p{N}]", x):
+            if np.log2(n * total / (every[x] * in_lines[e])) >= 0.7 * np.log2(total / in_lines[e]):
+                want.add(x)
+    assert {n.lower() for n in names} <= want and not want & {"333-44", "22", "w.k@corp.example"}
+    got = {x.doc_id: {dict(rows)[x.doc_id][s.start: s.end].lower() for s in x.terms} for x in
+           pii_spans(d, disclose=0.7).withColumnRenamed("id", "doc_id").collect()}
+    for i, t in rows:
+        assert got[i] == want & set(token(t)), (i, t)
+
+
 def test_quality_rules_counts(docs, rows):
     def plain(t):
         w = re.findall(r"[^\x20\x09-\x0D]+", t or "")
