@@ -16,16 +16,23 @@ from tessera.session import ensure_checkpoint_dir
 
 # a broadcast side may hold at most this many rows (of a few dozen bytes each)
 BROADCAST_ROWS = 200_000
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def materialise(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and reread it.
 
     Cuts the lineage with a copy every executor can read, so a lost executor
-    costs a reread and never a recomputation of what stands above."""
+    costs a reread and never a recomputation of what stands above.  Shuffle
+    files of the write go as soon as it is done: nothing reads them again."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._written_to = path
     return out

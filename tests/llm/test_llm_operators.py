@@ -197,6 +197,8 @@ def test_edit_distance_and_long_lines():
     for _ in range(500):
         a, b = ("".join(r.choice("abc") for _ in range(r.randint(0, 12))) for _ in range(2))
         assert edit_distance(a, b) == plain(a, b)
+        for most in range(6):
+            assert (edit_distance(a, b, most) <= most) == (plain(a, b) <= most)
     t = ["a b " * 40000, "", "\n\n c"]
     text, no, _, _ = line_table(t, 1)
     assert list(zip(text.tolist(), no.tolist(), strict=True)) == [(0, 0), (2, 2)]
