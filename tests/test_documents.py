@@ -90,3 +90,29 @@ def test_collection_scan_holds_only_the_asked_paths(spark):
     assert "ReadSchema: struct<student_id:bigint,personal:struct<name:string>,academic:struct<gpa:double>>" in n4
     assert "Join" not in n4 and "Exchange" not in n4
     assert "EqualTo(personal.city" in plan("N1_by_city") and "GreaterThanOrEqual(academic.gpa" in plan("N5_high_performers")
+
+
+def test_collection_reads_its_lines_once_and_keeps_orders_without_lines(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from tessera.sources.documents import student_documents
+
+    from .conftest import SF_SMALL
+
+    plan = student_documents(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("l_partkey") and len([x for x in plan.splitlines() if "Relation" in x and "l_partkey" in x]) == 1
+    ts = "timestamp '1994-03-01 00:00:00'"
+    tables = {
+        "region": "SELECT 0 r_regionkey, 'R' r_name", "nation": "SELECT 0 n_nationkey, 'N' n_name, 0 n_regionkey",
+        "customer": "SELECT id c_custkey, 'c' c_name, 0 c_nationkey, 5.0D c_acctbal FROM range(3)",
+        "part": "SELECT * FROM VALUES (0L, 'LARGE'), (1L, 'odd'), (2L, NULL) t(p_partkey, p_type)",
+        "orders": f"""SELECT *, {ts} o_orderdate FROM VALUES (0L, 0L, 'F', '1'), (1L, 0L, 'O', NULL), (2L, 1L, 'F', '2'),
+                      (3L, 0L, 'F', '1') t(o_orderkey, o_custkey, o_orderstatus, o_orderpriority)""",
+        "lineitem": "SELECT * FROM VALUES (0L, 0L), (0L, 0L), (1L, 1L), (3L, 2L) t(l_orderkey, l_partkey)",
+    }
+    for name, sql in tables.items():
+        spark.sql(sql).write.parquet(f"{tmp_path}/{name}.parquet")
+    got = {r.student_id: (r.skills, [(p.name, p.year, p.status, p.technologies) for p in r.projects])
+           for r in student_documents(spark, str(tmp_path)).orderBy(F.col("student_id")).collect()}
+    assert got == {0: (["MongoDB", "odd"], [(None, 1994, "In Progress", []), ("1", 1994, "Completed", ["MongoDB"])]),
+                   1: ([], [("2", 1994, "Completed", [])]), 2: ([], [])}
