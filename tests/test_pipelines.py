@@ -334,3 +334,20 @@ def test_sample_std_rules(spark):
     got = {r.g: r.s for r in df.groupBy("g").agg(sample_std("x").alias("s")).collect()}
     assert got["a"] == pytest.approx(float(np.std([1.0, 2.0, 4.0], ddof=1)))
     assert got["b"] == 0.0 and got["c"] == 0.0 and got["d"] is None
+
+
+def test_tree_cells_assemble_each_feature_set_once(spark, monkeypatch):
+    """Both models of a feature set fit on the same kept vectors (a plan of an assembler runs it in every pass)."""
+    from pyspark.ml.feature import VectorAssembler
+
+    from tessera.plans import corpus_ml as ML
+    from tessera.sources.domain import Domain
+
+    calls, plain = [], VectorAssembler.transform
+    monkeypatch.setattr(VectorAssembler, "transform", lambda self, df: calls.append(1) or plain(self, df))
+    metrics, imp = ML.tree_matrix(Domain(spark, SF_SMALL), ("group_kfold3",), random_forest={"num_trees": 2, "max_depth_rf": 2},
+                                  gradient_boosting={"max_iter": 1})
+    assert len(calls) == 2
+    got = {(r.fs, r.model, r.fold) for r in metrics.collect()}
+    assert got == {(fs, m, f) for fs in "AB" for m in ML.TREES for f in range(3)}
+    assert {(r.fs, r.model, r.fold) for r in imp.collect()} == got
