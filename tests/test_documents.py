@@ -116,3 +116,14 @@ def test_collection_reads_its_lines_once_and_keeps_orders_without_lines(spark, t
            for r in student_documents(spark, str(tmp_path)).orderBy(F.col("student_id")).collect()}
     assert got == {0: (["MongoDB", "odd"], [(None, 1994, "In Progress", []), ("1", 1994, "Completed", ["MongoDB"])]),
                    1: ([], [("2", 1994, "Completed", [])]), 2: ([], [])}
+
+
+def test_no_table_that_grows_is_broadcast_for_the_collection(spark):
+    """Parts of compact files would pass Spark's size limit for a broadcast, and go whole through the driver."""
+    from tessera.sources.documents import student_documents
+
+    from .conftest import SF_SMALL
+
+    plan = student_documents(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    joins = [x for x in plan.splitlines() if "BroadcastHashJoin" in x]
+    assert joins and not [x for x in joins if any(k in x for k in ("partkey", "orderkey", "custkey"))]
