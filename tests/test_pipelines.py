@@ -39,6 +39,30 @@ def test_run_all_sources_reports_every_source(dom):
     assert rows["scraper"].rows_in > rows["scraper"].rows + rows["scraper"].rows_invalid
 
 
+def test_sources_run_side_by_side_and_keep_their_order(dom, monkeypatch):
+    """Two sources that wait for each other end only when both run at once; a failure stays with its source."""
+    from threading import Barrier
+
+    from tessera.plans import flows
+
+    both, wait = Barrier(2), 60
+    recipe = dict(flows.RECIPES)
+
+    def meet(name):
+        def run(d):
+            both.wait(wait)
+            return recipe[name](d)
+
+        return run
+
+    for name in ("json", "sqlite"):
+        monkeypatch.setitem(flows.RECIPES, name, meet(name))
+    monkeypatch.setitem(flows.RECIPES, "api", lambda d: d.spark.table("absent"))
+    status, frames = flows.run_all(dom, ("json", "api", "sqlite"))
+    assert [(r.source, r.status) for r in status.collect()] == [("json", "OK"), ("api", "FAILED"), ("sqlite", "OK")]
+    assert list(frames) == ["json", "sqlite"]
+
+
 def test_rerun_replaces_one_source(dom, monkeypatch):
     from tessera.plans import flows
 
