@@ -12,7 +12,7 @@ import pytest
 import regex
 
 import corpus_pipeline
-from tessera.llm import license_scan, mixing
+from tessera.llm import license_scan, line_dedup, mixing
 from tessera.llm.embedding_dedup import embedding_near_dedup
 from tessera.llm.graph import connected_components
 from tessera.llm.line_dedup import dedup_lines, edit_distance, line_lists, line_table, normalise, similar
@@ -176,6 +176,38 @@ def test_near_lines_of_any_script_and_few_words(spark):
     assert got == {1: "", 2: "0,1"}
 
 
+def test_lines_of_one_template_are_not_compared_in_all_pairs(spark, monkeypatch):
+    """Lines that share most of their words, and so their bands, but have too many other letters to link."""
+    template = "the quick brown fox jumps over the lazy dog near the old mill by the river"
+    rows = [(i, f"{template} {c * 10} {c * 11} {c * 9}") for i, c in enumerate("abcdefghijklmnopqrstuvwxyz")]
+    compared, plain = [], line_dedup._similar_pairs
+
+    def counted(texts, pairs, similarity):
+        compared.append(pairs.count())
+        return plain(texts, pairs, similarity)
+
+    monkeypatch.setattr(line_dedup, "_similar_pairs", counted)
+    got = line_lists(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert not any(x.n_removed for x in got)
+    assert compared[0] > 10 and compared[1] < len(rows)
+
+
+def test_counts_of_characters_rule_out_no_similar_pair():
+    r = random.Random(5)
+    some = []
+    for _ in range(400):
+        a = [r.choice("abcdefgh é这\U0001F600") for _ in range(r.choice((10, 40, 150, 4000)))]
+        b = a[:]
+        for _ in range(r.randint(0, len(a) // 10)):
+            k = r.randrange(len(b))
+            b[k: k + r.randint(0, 1)] = r.choice(["", "x", "y"])
+        some.append(("".join(a), "".join(b)))
+    x, y = (line_dedup.kind_counts([p[k] for p in some]) for k in range(2))
+    near = line_dedup.near_counts(x, y, np.array([int(0.1 * max(len(a), len(b)) + 1e-9) for a, b in some]))
+    assert near[[similar(a, b, 0.9) for a, b in some]].all()
+    assert not line_dedup.near_counts(line_dedup.kind_counts(["a" * 20]), line_dedup.kind_counts(["b" * 20]), np.array([2])).any()
+
+
 def test_lines_of_odd_rows(docs):
     out = dedup_lines(docs)
     assert out.columns == docs.columns
