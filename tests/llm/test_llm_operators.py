@@ -208,6 +208,27 @@ def test_counts_of_characters_rule_out_no_similar_pair():
     assert not line_dedup.near_counts(line_dedup.kind_counts(["a" * 20]), line_dedup.kind_counts(["b" * 20]), np.array([2])).any()
 
 
+def test_near_lines_of_repeated_rows_and_null_ids(spark, monkeypatch):
+    """Texts are read alike whether the wanted lines are broadcast or shuffled, and once for rows equal in id and text."""
+    rows = [(None, "a line that is of no id at all"), (None, "a line that is of no id at all"), (None, "another text\na line that is of no ids at all"),
+            (1, "a line that was of no id at all\nand one more line of its own"), (1, "a line that was of no id at all\nand one more line of its own"), (2, "and one more line of its owns")]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    seen, plain = [], line_dedup._similar_pairs
+
+    def counted(texts, pairs, similarity):
+        seen.append((texts.count(), texts.select("v").distinct().count()))
+        return plain(texts, pairs, similarity)
+
+    monkeypatch.setattr(line_dedup, "_similar_pairs", counted)
+    # of null ids the text with the least key stays
+    want = [(None, "0", True), (None, "0", True), (None, "", False), (1, "0", False), (1, "0", False), (2, "0", True)]
+    for few in (line_dedup.FEW, 0):
+        monkeypatch.setattr(line_dedup, "FEW", few)
+        got = [(x.doc_id, x.removed, x.emptied) for x in line_lists(d).collect()]
+        assert sort(got) == sort(want)
+    assert all(n == m > 0 for n, m in seen)
+
+
 def test_lines_of_odd_rows(docs):
     out = dedup_lines(docs)
     assert out.columns == docs.columns
