@@ -63,6 +63,19 @@ def test_sources_run_side_by_side_and_keep_their_order(dom, monkeypatch):
     assert list(frames) == ["json", "sqlite"]
 
 
+@pytest.mark.parametrize("query", ["P4_silver_merge"])
+def test_silver_of_a_failed_source_raises(dom, monkeypatch, query):
+    """Silver, its checks and its report are of all sources: without one they are no result."""
+    import __spark_entry__ as se
+    from tessera.plans import flows
+
+    for name in flows.SOURCES:
+        if name not in ("sqlite", "postgres"):
+            monkeypatch.setitem(flows.RECIPES, name, lambda d: d.spark.table("absent"))
+    with pytest.raises(RuntimeError, match=r"(?s)csv: AnalysisException.*api: AnalysisException"):
+        se.queries()[query](dom.spark, SF_SMALL).collect()
+
+
 def test_rerun_replaces_one_source(dom, monkeypatch):
     from tessera.plans import flows
 
