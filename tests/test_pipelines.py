@@ -63,7 +63,7 @@ def test_sources_run_side_by_side_and_keep_their_order(dom, monkeypatch):
     assert list(frames) == ["json", "sqlite"]
 
 
-@pytest.mark.parametrize("query", ["P4_silver_merge", "Q5_silver_verify"])
+@pytest.mark.parametrize("query", ["P4_silver_merge", "Q5_silver_verify", "Q8_silver_report"])
 def test_silver_of_a_failed_source_raises(dom, monkeypatch, query):
     """Silver, its checks and its report are of all sources: without one they are no result."""
     import __spark_entry__ as se
