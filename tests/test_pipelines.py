@@ -1,6 +1,8 @@
 """Pipelines, sources and ML operators on the small driver tables and on
 fixtures (row-count and property checks; SQL oracles live in test_oracle_corpus)."""
 
+import inspect
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -12,6 +14,8 @@ from tessera.sources.domain import Domain
 
 from .conftest import SF_SMALL
 
+MD_TREE_CV = MD.tree_cv
+
 
 @pytest.fixture(scope="module")
 def dom(spark):
@@ -388,3 +392,42 @@ def test_tree_cells_assemble_each_feature_set_once(spark, monkeypatch):
     got = {(r.fs, r.model, r.fold) for r in metrics.collect()}
     assert got == {(fs, m, f) for fs in "AB" for m in ML.TREES for f in range(3)}
     assert {(r.fs, r.model, r.fold) for r in imp.collect()} == got
+
+
+def test_tree_cells_are_of_full_ensembles(spark, monkeypatch):
+    """The registered query fits the sizes that M12 and M13 name: 200 trees without a small depth, 200 x depth 3."""
+    import __spark_entry__ as se
+
+    sizes = []
+
+    def fit(df, features, target, model, **kw):
+        given = inspect.signature(MD_TREE_CV).bind(df, features, target, model, **kw)
+        given.apply_defaults()
+        sizes.append((model, *[given.arguments[k] for k in ("num_trees", "max_depth_rf", "max_iter")]))
+        pred = spark.createDataFrame([(model, 0, 1.0, 1.0)], "model string, fold int, y double, pred double")
+        return pred, spark.createDataFrame([(model, 0, "a", 1.0)], "model string, fold int, feature string, importance double")
+
+    monkeypatch.setattr(MD, "tree_cv", fit)
+    se.queries()["M12_M14_tree_cells"](spark, SF_SMALL)
+    assert len(sizes) == 12
+    assert set(sizes) == {("random_forest", 200, 30, 200), ("gradient_boosting", 200, 30, 200)}
+
+
+def test_a_forest_grown_in_turns_is_a_whole_forest(spark, monkeypatch):
+    """Trees in turns of three: predictions are the mean over all trees, none lost, and importances sum to 1."""
+    from pyspark.ml.regression import RandomForestRegressionModel
+
+    rows = [(i % 3, float(i % 7), float(i % 5), float(i % 7) * 0.5 + i % 5) for i in range(90)]
+    df = spark.createDataFrame(rows, "fold int, a double, b double, y double")
+    turns, plain = [], RandomForestRegressionModel.transform
+
+    def transform(self, d):
+        turns.append(self.getNumTrees)
+        return plain(self, d)
+
+    monkeypatch.setattr(RandomForestRegressionModel, "transform", transform)
+    monkeypatch.setattr(MD, "NODES_AT_ONCE", 180)
+    pred, imp = MD.tree_cv(df, ["a", "b"], "y", "random_forest", num_trees=8)
+    assert sorted(turns) == sorted([3, 3, 2] * 3) and pred.count() == 90
+    assert all(r.r2 > 0.9 for r in MD.fold_metrics(pred).collect())
+    assert {round(r.s, 9) for r in imp.groupBy("fold").agg(F.sum("importance").alias("s")).collect()} == {1.0}
