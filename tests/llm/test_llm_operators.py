@@ -229,6 +229,45 @@ def test_near_lines_of_repeated_rows_and_null_ids(spark, monkeypatch):
     assert all(n == m > 0 for n, m in seen)
 
 
+def test_texts_of_pairs_that_counts_rule_out_are_not_fetched(spark, monkeypatch):
+    """Lines of one template share bands; only the two whose characters allow a link are read again for their texts."""
+    template = "the quick brown fox jumps over the lazy dog near the old mill by the river"
+    rows = [(i, f"{template} {c * 10} {c * 11} {c * 9}") for i, c in enumerate("abcdefghijklmnopqrstuvwxyz")]
+    rows.append((26, f"{template} {'z' * 10} {'z' * 11} {'z' * 8}"))
+    fetched, fetch = [], line_dedup._node_texts
+
+    def counted(d, nodes, wanted, *turns):
+        out = fetch(d, nodes, wanted, *turns)
+        fetched.append(out.count())
+        return out
+
+    monkeypatch.setattr(line_dedup, "_node_texts", counted)
+    got = line_lists(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [x.doc_id for x in got if x.n_removed] == [26]
+    assert sum(fetched) == 2
+
+
+def test_lines_shuffled_in_turns_equal_all_at_once(spark, monkeypatch):
+    """Texts shipped to one pair a turn and documents in turns give the same lines."""
+    r = random.Random(3)
+    lines = [" ".join(r.choice(("alpha", "beta", "gamma", "delta", "epsilon")) + str(r.randrange(3)) for _ in range(n)) for n in (4, 9, 30) for _ in range(4)]
+    rows = [(i, "\n".join(x + end for x in lines[i % 3::3])) for i, end in enumerate(("", "", "", " a", " b", " c"))]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sort(map(tuple, line_lists(d).collect()))
+    pairs, plain = [], line_dedup.materialise_turns
+
+    def counted(parts, tag):
+        parts = list(parts)
+        pairs.append((tag, len(parts)))
+        return plain(parts, tag)
+
+    monkeypatch.setattr(line_dedup, "materialise_turns", counted)
+    monkeypatch.setattr(line_dedup, "PAIRS_AT_ONCE", 1)
+    monkeypatch.setattr(line_dedup, "FEW", 0)
+    assert sort(map(tuple, line_lists(d).collect())) == want
+    assert ("nodes", line_dedup.TURNS) in pairs and ("texts", line_dedup.TURNS) in pairs and any(x[2] for x in want)
+
+
 def test_lines_of_odd_rows(docs):
     out = dedup_lines(docs)
     assert out.columns == docs.columns
